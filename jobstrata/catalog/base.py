@@ -42,6 +42,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream, whether it is stored as one file or as a folder of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(location).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 # Posting fields as SQL that both engines read alike, grouped by the table they need.
 _DOCUMENT = {
     "doc_id": "d.doc_id",
