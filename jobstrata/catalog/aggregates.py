@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from jobstrata.catalog.base import EVENTS_DAY, ORDERS_DAY, over_postings, postings, query, table
 from jobstrata.catalog.ingest import LEGACY_SQL, legacy_postings
-from jobstrata.catalog.relations import DAILY_KEYS_SQL, SHIPPED_SQL, SILVER_PARTS, SILVER_SQL, sent_log, shipped, silver
+from jobstrata.catalog.relations import DAILY_KEYS_SQL, SHIPPED_SQL, SILVER_PARTS, SILVER_SQL, sent_log, shipped, silver, with_stack
 from jobstrata.catalog.rules import (
     CORPUS_CITIES, CORPUS_CITY_PARTS, KEYWORDS_SQL, RUNS_SQL, TECH_STACK_SQL, CORPUS_KEYWORDS, customers_with_city, run_table,
 )
 from jobstrata.functions import classify, location
 from jobstrata.operators import joins, quality
 from jobstrata.plans import jobs, marts, monitoring, star
+from jobstrata.session import materialize
 
 c = F.col
 
@@ -31,9 +32,8 @@ def d01(spark, sf):
     FROM (SELECT job_id, date_diff('day', CAST(ingestion_timestamp AS date), DATE '2024-01-05') AS age, unnest({TECH_STACK_SQL}) AS tech FROM pv) WHERE age <= 90 GROUP BY tech"""),
 )
 def d02(spark, sf):
-    rows = postings(spark, sf, "ingested").select(
-        "job_id", c("ingestion_timestamp").alias("extract_date"),
-        classify.tech_stack(c("description"), CORPUS_KEYWORDS).alias("tech_stack"),
+    rows = postings(spark, sf, "ingested", prepare=with_stack).select(
+        "job_id", c("ingestion_timestamp").alias("extract_date"), "tech_stack"
     )
     return jobs.tech_counts(rows, "2024-01-05", (2, 90))
 
@@ -63,7 +63,7 @@ def d03(spark, sf):
         for layer, rule in (("bronze", "true"), ("silver", "job_id <> '' AND title <> ''")))),
 )
 def d04(spark, sf):
-    pv = postings(spark, sf, "title")
+    pv = materialize(postings(spark, sf, "title").select("job_id", "title", "company"), "layer")
     return jobs.data_quality({"bronze": pv, "silver": quality.keep_valid(pv, quality.SILVER_MD_DROP)})
 
 
@@ -208,15 +208,10 @@ FRAMES = [("city", 10), ("company", 15), ("main_technology", 10)]
     "d19_chart_frames",
     over_postings("title", "posted", more=LEGACY_SQL, body=" UNION ALL ".join(
         [f"(SELECT '{f}' AS frame, {f} AS label, count(*) AS n FROM fact WHERE {f} IS NOT NULL GROUP BY {f} ORDER BY n DESC, label LIMIT {n})" for f, n in FRAMES]
-        + ["(SELECT 'skill' AS frame, skill AS label, count(*) AS n FROM (SELECT unnest(skills) AS skill FROM fact) GROUP BY skill ORDER BY n DESC, label LIMIT 15)"])),
+        + ["(SELECT 'skills' AS frame, skill AS label, count(*) AS n FROM (SELECT unnest(skills) AS skill FROM fact) GROUP BY skill ORDER BY n DESC, label LIMIT 15)"])),
 )
 def d19(spark, sf):
-    made = star.star_tables(legacy_postings(spark, sf))
-    frames = {f: marts.chart_top(made["postings"], f, n).withColumnRenamed(f, "label") for f, n in FRAMES}
-    frames["skill"] = marts.chart_top(made["skills"], "skill", 15).withColumnRenamed("skill", "label")
-    from jobstrata.operators.sets import union_labelled
-
-    return union_labelled(frames, "frame")
+    return marts.chart_frames(star.prepare(legacy_postings(spark, sf)), dict(FRAMES), {"skills": 15})
 
 
 @query(
@@ -325,7 +320,7 @@ def d29(spark, sf):
 )
 def d30(spark, sf):
     ratios = quality.layer_ratios(postings(spark, sf, "title", "place"), ["job_id"], ["job_id", "title", "location"])
-    return quality.threshold_check(ratios, "bronze").unionByName(quality.threshold_check(ratios, "silver"))
+    return quality.threshold_check(ratios, "bronze", "silver")
 
 
 @query(

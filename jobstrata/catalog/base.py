@@ -115,13 +115,24 @@ def _select(parts: tuple[str, ...]) -> tuple[dict[str, str], list[tuple[str, str
     return columns, joins
 
 
-def postings(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
-    """Postings built from ``documents``, joined only with the tables the parts need."""
+def postings(
+    spark: SparkSession, sf_dir: str, *parts: str, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Postings built from ``documents``, joined only with the tables the parts need.
+
+    ``prepare`` works on the document columns before anything is joined.
+    """
     columns, joins = _select(parts)
-    out = table(spark, sf_dir, "documents").alias("d")
+    documents = table(spark, sf_dir, "documents").alias("d").select(
+        *[F.expr(e).alias(c) for c, e in _DOCUMENT.items()]
+    )
+    if prepare:
+        documents = prepare(documents)
+    out = documents.alias("d")
     for name, alias, rule in joins:
         out = out.join(table(spark, sf_dir, name).alias(alias), F.expr(rule), "left")
-    return out.select(*[F.expr(e).alias(c) for c, e in columns.items()])
+    added = [F.expr(e).alias(c) for c, e in columns.items() if c not in _DOCUMENT]
+    return out.select(*[F.col(f"d.{c}") for c in documents.columns], *added)
 
 
 def postings_sql(*parts: str) -> str:

@@ -9,18 +9,29 @@ from jobstrata.catalog.rules import (
     COMPANY_SQL, CORPUS_KEYWORDS, GENERAL_PLACE_SQL, JOB_TYPE_SQL, KEYWORDS_SQL, REPLY, REPLY_SQL, SENIORITY_SQL, TECH_STACK_SQL,
     customers_with_city, run_table, RUNS_SQL,
 )
-from jobstrata.operators import joins, select, sets
+from jobstrata.catalog.ingest import events_stream
+from jobstrata.functions import classify, text
+from jobstrata.functions.dates import effective_time
+from jobstrata.operators import joins, quality, select, sets
 from jobstrata.plans import feed, jobs, marts, monitoring
-from jobstrata.session import materialize
+from jobstrata.plans.medallion import split_domains
+from jobstrata.session import fresh_path, materialize
+from jobstrata.sources.files import sample_rows, write_layer
 from jobstrata.streaming.current import CurrentState
+from jobstrata.streaming.runs import each_batch, run_to_end
 
 c = F.col
 
 
+def with_stack(documents):
+    """Technologies in place of the text, so that no text travels through the view's joins."""
+    return jobs.with_tech_stack(documents, CORPUS_KEYWORDS).drop("description")
+
+
 def silver(spark, sf):
     """Batch-refined postings: title, place and ingestion day over the posting view."""
-    pv = postings(spark, sf, "title", "place", "ingested").withColumn("extract_date", c("ingestion_timestamp"))
-    return jobs.jobs_silver(pv, CORPUS_KEYWORDS)
+    pv = postings(spark, sf, "title", "place", "ingested", prepare=with_stack)
+    return jobs.jobs_silver(pv.withColumn("extract_date", c("ingestion_timestamp")))
 
 
 SILVER_SQL = (
@@ -37,7 +48,7 @@ DAILY_KEYS_SQL = "date, company_normalized, city, state, country, seniority_leve
     FROM silver WINDOW w AS (PARTITION BY {DAILY_KEYS_SQL})"""),
 )
 def c01(spark, sf):
-    rows = silver(spark, sf)
+    rows = materialize(silver(spark, sf), "silver")
     metrics = materialize(jobs.daily_metrics(rows), "daily_metrics")
     return jobs.current_postings(rows, metrics).select(
         "doc_id", "date", "company_normalized", "city", "jobs_count", "unique_jobs"
@@ -176,7 +187,9 @@ def e02(spark, sf):
     "SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text",
 )
 def e03(spark, sf):
-    return select.keep_first(table(spark, sf, "documents").select("doc_id", "text"), ["text"], ["doc_id"])
+    # The hash goes first, so that texts are compared only where hashes agree.
+    rows = table(spark, sf, "documents").select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    return select.keep_first(rows, ["hash", "text"], ["doc_id"]).drop("hash")
 
 
 @query(
@@ -210,10 +223,6 @@ def e05(spark, sf):
     "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
 )
 def e06(spark, sf):
-    from jobstrata.catalog.ingest import events_stream
-    from jobstrata.session import fresh_path
-    from jobstrata.streaming.runs import each_batch, run_to_end
-
     state = CurrentState(spark, fresh_path(spark, "state"), ["user_id"], "ts", ["event_id"])
     # The early part arrives as a batch of its own, the stream repeats it and adds the rest.
     e = table(spark, sf, "events").withColumn("ts", c("ts").cast("timestamp"))
@@ -253,9 +262,6 @@ def f04(spark, sf):
         body="SELECT date, company, seniority_level, count(*) AS jobs_count FROM s GROUP BY ALL ORDER BY date DESC, jobs_count DESC, company, seniority_level LIMIT 10"),
 )
 def f05(spark, sf):
-    from jobstrata.functions import classify, text
-    from jobstrata.operators import quality
-
     pv = quality.keep_valid(postings(spark, sf, "title", "ingested"), quality.SILVER_MD_DROP)
     daily = pv.groupBy(
         F.date_format("ingestion_timestamp", "yyyy-MM-dd").alias("date"), text.normalize_text(c("company")).alias("company"),
@@ -266,8 +272,6 @@ def f05(spark, sf):
 
 @query("f06_sample_rows", "SELECT doc_id, source, lang FROM documents ORDER BY doc_id LIMIT 5")
 def f06(spark, sf):
-    from jobstrata.sources.files import sample_rows
-
     return sample_rows(table(spark, sf, "documents").select("doc_id", "source", "lang"), ["doc_id"])
 
 
@@ -285,11 +289,11 @@ def f07(spark, sf):
     over_postings("posted", "ingested", body="SELECT category AS domain, doc_id, coalesce(posted_time_ts, ingestion_timestamp) AS effective_posted_time FROM pv"),
 )
 def g01(spark, sf):
-    from jobstrata.functions.dates import effective_time
-    from jobstrata.plans.medallion import split_domains
-
-    pv = postings(spark, sf, "posted", "ingested")
-    return sets.union_labelled(split_domains(pv), "domain").select(
+    path = fresh_path(spark, "by_domain")
+    rows = postings(spark, sf, "posted", "ingested").select("doc_id", "category", "posted_time_ts", "ingestion_timestamp")
+    write_layer(rows, path, ["category"])
+    # Each domain reads its own partition only.
+    return sets.union_labelled(split_domains(spark.read.schema(rows.schema).parquet(path)), "domain").select(
         "domain", "doc_id", effective_time(c("posted_time_ts"), c("ingestion_timestamp")).alias("effective_posted_time")
     )
 

@@ -14,6 +14,7 @@ from jobstrata.catalog.rules import ALL_PARTS, GOLD_SQL, raw_postings
 from jobstrata.plans import feed, jobs, marts, medallion, views
 from jobstrata.schemas import RAW_POSTING
 from jobstrata.session import fresh_path, materialize
+from jobstrata.sources.files import write_layer
 from jobstrata.streaming import alerts, dedup, layers
 from jobstrata.streaming.runs import append_parquet, each_batch, run_to_end
 
@@ -66,7 +67,11 @@ def i05(spark, sf):
 
 
 def gold_view(spark, sf):
-    return medallion.gold_all(medallion.split_domains(medallion.refine(raw_postings(spark, sf), as_of=ORDERS_DAY)))
+    """Gold written once, one partition per domain; the view reads each domain's own."""
+    path = fresh_path(spark, "gold")
+    gold = medallion.refine(raw_postings(spark, sf), as_of=ORDERS_DAY)
+    write_layer(gold, path, ["category"])
+    return medallion.gold_all(medallion.split_domains(spark.read.schema(gold.schema).parquet(path)))
 
 
 GOLD_ALL_SQL = GOLD_SQL + ", gold_all AS (SELECT category AS domain, *, coalesce(posted_time_ts, ingestion_timestamp) AS effective_posted_time FROM gold)"
@@ -82,7 +87,7 @@ LATE_SLACK = "12000 DAYS"
 )
 def i06(spark, sf):
     store = feed.FeedStore(spark, fresh_path(spark, "feed"))
-    everything = materialize(gold_view(spark, sf), "gold_all")
+    everything = gold_view(spark, sf)
     first = everything.filter(c("domain") != "digital_analytics")
     here = F.contains(c("city"), F.lit("nation"))
     # The second cycle meets rows older than the mark: a look-back finds them, the sent log
@@ -172,7 +177,7 @@ def k02(spark, sf):
     over_postings(*SILVER_PARTS, more=SILVER_SQL, body="SELECT 'vw_jobs_current' AS name, count(*) AS n, count(DISTINCT doc_id) AS ids FROM silver UNION ALL SELECT 'vw_data_quality', 1, count(*) FILTER (title IS NULL) FROM silver"),
 )
 def k03(spark, sf):
-    rows = silver(spark, sf)
+    rows = materialize(silver(spark, sf), "silver")
     metrics = materialize(jobs.daily_metrics(rows), "daily_metrics")
     views.register_job_views(jobs.current_postings(rows, metrics), jobs.data_quality({"silver": rows}))
     return spark.sql(

@@ -234,9 +234,14 @@ def top_values(
     repeated = freq.groupBy("column").agg(
         F.sum("n").alias("_total"), F.count("value").alias("_distinct")
     ).filter(F.col("_distinct") < F.col("_total") * max_unique_ratio)
-    known = freq.filter(F.col("value").isNotNull()).withColumnRenamed("n", "freq")
-    kept = known.join(F.broadcast(repeated.select("column")), "column")
-    return per_key(kept, ["column"], [F.desc("freq"), F.asc("value")], n)
+    # NULL sorts last and is dropped only after ranking: a filter before it would be pushed
+    # below the counts, and the two branches could no longer share one shuffle.
+    ranked = per_key(freq, ["column"], [F.isnull("value"), F.desc("n"), F.asc("value")], n)
+    return (
+        ranked.join(F.broadcast(repeated.select("column")), "column")
+        .filter(F.col("value").isNotNull())
+        .select("column", "value", F.col("n").alias("freq"))
+    )
 
 
 def duplicate_audit(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -267,9 +272,8 @@ def layer_ratios(df: DataFrame, key: list[str], required: list[str]) -> DataFram
     )
 
 
-def threshold_check(ratios: DataFrame, layer: str) -> DataFrame:
-    """One row per threshold of the layer: metric, value, limit and whether it holds."""
-    limits = vocab.LAYER_THRESHOLDS[layer]
+def threshold_check(ratios: DataFrame, *layers: str) -> DataFrame:
+    """One row per threshold of each layer: metric, value, limit and whether it holds."""
     # Which metric a threshold bounds, and from which side.
     sides = {
         "max_null_ratio": ("null_ratio", True),
@@ -277,7 +281,8 @@ def threshold_check(ratios: DataFrame, layer: str) -> DataFrame:
         "min_completeness": ("completeness", False),
     }
     rows = []
-    for name, limit in limits.items():
+    limits = [(layer, name, limit) for layer in layers for name, limit in vocab.LAYER_THRESHOLDS[layer].items()]
+    for layer, name, limit in limits:
         metric, upper = sides[name]
         value = F.col(metric)
         rows.append(

@@ -128,9 +128,11 @@ class FeedStore:
     def outbox(self, cycle: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/outbox/cycle={cycle}")
 
-    def state(self) -> DataFrame:
-        """The mark written last, as a table of at most one row."""
+    def state(self, before: int | None = None) -> DataFrame:
+        """The mark written last (or last before a cycle), as a table of at most one row."""
         marks = self._read("mark", schemas.STATE)
+        if before is not None:
+            marks = marks.filter(F.col("cycle") < before)
         return marks.agg(F.max_by("last_posted_time_ts", "cycle").alias("last_posted_time_ts")).filter(
             "last_posted_time_ts IS NOT NULL"
         )
@@ -150,9 +152,9 @@ class FeedStore:
         """Run one cycle and return its outbox.
 
         The mark is one value, read on the driver so that the time filter is a constant that
-        reaches the scan. Rows of an earlier attempt at this cycle do not count as sent.
+        reaches the scan. What an earlier attempt at this cycle left behind does not count.
         """
-        since = F.lit(current_mark(self.state(), as_of, lookback).first()["since"])
+        since = F.lit(current_mark(self.state(before=cycle), as_of, lookback).first()["since"])
         sent = self.sent().filter(F.col("cycle") != cycle)
         feed = keep_first(pending(gold_all, sent, since, place, slack), ["job_id"], ["posted_time_ts", "url"])
         self._write(with_message(feed), "outbox", cycle)

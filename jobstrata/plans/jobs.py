@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobstrata import vocab
 from jobstrata.functions import classify, location
 from jobstrata.functions.dates import AsOf, as_date
 from jobstrata.operators import joins, quality
@@ -38,17 +39,21 @@ def jobs_bronze(raw: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     return audit_columns(daily_unique(trimmed, "job_id", "extract_date", tiebreak or ["title", "location"]), "bronze")
 
 
-def jobs_silver(bronze: DataFrame, keywords: list[str] | None = None) -> DataFrame:
-    """Place, technologies, level, job type and company name."""
+def with_tech_stack(df: DataFrame, keywords: list[str] = vocab.TECH_KEYWORDS) -> DataFrame:
+    return df.withColumn("tech_stack", classify.tech_stack(F.col("description"), keywords))
+
+
+def jobs_silver(bronze: DataFrame) -> DataFrame:
+    """Place, technologies, level, job type and company name.
+
+    Technologies are taken over when ``with_tech_stack`` has found them already.
+    """
     c = F.col
-    stack = classify.tech_stack(c("description")) if keywords is None else classify.tech_stack(
-        c("description"), keywords
-    )
+    stacked = bronze if "tech_stack" in bronze.columns else with_tech_stack(bronze)
     return audit_columns(
-        bronze.withColumns(
+        stacked.withColumns(
             {
                 "_place": location.parse_general(c("location")),
-                "tech_stack": stack,
                 "seniority_level": classify.seniority(c("title")),
                 "job_type_normalized": classify.job_type(c("type")),
                 "company_normalized": classify.company_name(c("company")),

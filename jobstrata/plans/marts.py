@@ -99,6 +99,34 @@ def chart_top(df: DataFrame, by: str, n: int) -> DataFrame:
     return count_top(df.filter(F.col(by).isNotNull()), [by], n)
 
 
+def chart_frames(df: DataFrame, columns: dict[str, int], arrays: dict[str, int]) -> DataFrame:
+    """Most frequent values of several columns and array columns, as ``frame, label, n``.
+
+    The dictionaries give the number of values to keep. All frames come from one pass: every
+    row is unfolded into (frame, label) pairs, which are counted before the shuffle.
+    """
+    def pair(frame: str, label: Column) -> Column:
+        return F.struct(F.lit(frame).alias("frame"), label.alias("label"))
+
+    def unfold(frame: str) -> Column:
+        values = F.coalesce(F.col(frame), F.array().cast("array<string>"))
+        return F.transform(values, lambda v: pair(frame, v))
+
+    singles = F.array(*[pair(f, F.col(f)) for f in columns])
+    unfolded = [unfold(f) for f in arrays]
+    counts = (
+        df.select(F.inline(F.concat(singles, *unfolded)))
+        .filter(F.col("label").isNotNull())
+        .groupBy("frame", "label")
+        .agg(F.count("*").alias("n"))
+    )
+    kept = columns | arrays
+    window = Window.partitionBy("frame").orderBy(F.desc("n"), F.asc("label"))
+    ranked = counts.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= max(kept.values()))
+    limit = F.coalesce(*[F.when(F.col("frame") == f, F.lit(k)) for f, k in kept.items()])
+    return ranked.filter(F.col("_rank") <= limit).drop("_rank")
+
+
 def histogram(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:
     """Equal-width bins per column, the maximum counted in the last bin.
 

@@ -22,15 +22,28 @@ def ingest_json_stream(
     )
 
 
-def ingest_text_stream(spark: SparkSession, root: str, max_files: int = vocab.MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Stream of raw JSON lines, for ``with_rescued``."""
+def ingest_text_stream(
+    spark: SparkSession, root: str, names: str = "*", max_files: int = vocab.MAX_FILES_PER_TRIGGER
+) -> DataFrame:
+    """Stream of raw JSON lines, for ``with_rescued``; ``names`` is a glob on file names."""
     return (
-        spark.readStream.option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files).text(root)
+        spark.readStream.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", names)
+        .option("maxFilesPerTrigger", max_files)
+        .text(root)
     )
 
 
-def read_text_lines(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", True).text(root)
+def read_text_lines(spark: SparkSession, root: str, names: str = "*") -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).text(root)
+
+
+def domain_glob(domain: str) -> str:
+    """Glob for files that start with the domain in any case.
+
+    It is applied while files are listed, so files of other domains are never opened.
+    """
+    return "".join(f"[{ch.lower()}{ch.upper()}]" if ch.isalpha() else ch for ch in domain) + "_*"
 
 
 def is_domain_file(name: Column, domain: str) -> Column:
@@ -141,6 +154,7 @@ def append_jsonl(df: DataFrame, path: str, partitions: list[str]) -> None:
 
 def read_bronze(spark: SparkSession, root: str, domain: str, stream: bool = False) -> DataFrame:
     """Bronze rows of one domain: parsed fields, rescued data and lineage."""
-    lines = ingest_text_stream(spark, root) if stream else read_text_lines(spark, root)
+    read = ingest_text_stream if stream else read_text_lines
+    lines = read(spark, root, domain_glob(domain))
     lined = with_lineage(filter_source_files(lines, domain))
     return with_rescued(lined, schemas.RAW_POSTING).select(*schemas.BRONZE)

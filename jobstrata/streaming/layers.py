@@ -13,10 +13,9 @@ from jobstrata.streaming.dedup import drop_repeats
 from jobstrata.streaming.runs import append_parquet, run_to_end
 
 
-def read_layer_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A written layer as a stream, with the schema the layer was written with."""
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", vocab.MAX_FILES_PER_TRIGGER).parquet(path)
+def read_layer_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A written layer as a stream, with the columns of the frame that was written."""
+    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", vocab.MAX_FILES_PER_TRIGGER).parquet(path)
 
 
 def run_domain(
@@ -29,16 +28,17 @@ def run_domain(
     """
     base = f"{target.rstrip('/')}/{domain}"
 
-    def run(df: DataFrame, layer: str) -> None:
+    def run(df: DataFrame, layer: str) -> DataFrame:
+        """Bring one layer up to date and return it as a stream for the next."""
         run_to_end(append_parquet(df, f"{base}/{layer}", f"{base}/_checkpoints/{layer}"))
+        return read_layer_stream(spark, f"{base}/{layer}", df)
 
-    run(read_bronze(spark, source, domain, stream=True), "bronze")
-    staged = medallion.silver_stg(read_layer_stream(spark, f"{base}/bronze"))
+    bronze = run(read_bronze(spark, source, domain, stream=True), "bronze")
+    staged = medallion.silver_stg(bronze)
     if unique:
         staged = drop_repeats(staged.filter(F.col("extract_ts").isNotNull()), ["job_id"], "extract_ts")
-    run(staged, "silver_stg")
-    run(medallion.silver_md(read_layer_stream(spark, f"{base}/silver_stg")), "silver_md")
-    run(medallion.gold(read_layer_stream(spark, f"{base}/silver_md"), as_of), "gold")
+    md = run(medallion.silver_md(run(staged, "silver_stg")), "silver_md")
+    run(medallion.gold(md, as_of), "gold")
     return f"{base}/gold"
 
 
