@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from jobstrata import schemas
 from jobstrata.catalog.base import ORDERS_DAY, over_postings, postings, query, stream_table, table
 from jobstrata.catalog.rules import SKILLS, SKILLS_SQL
 from jobstrata.functions import dates
@@ -15,7 +15,7 @@ from jobstrata.streaming.runs import append_parquet, run_to_end
 
 c = F.col
 
-EVENT_FIELDS = T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string, value double, props string")
+EVENT_FIELDS = schemas.struct("event_id bigint, user_id bigint, event_type string, value double, props string")
 
 
 def events_stream(spark, sf_dir):
@@ -89,7 +89,7 @@ LINE = (
 )
 def a05(spark, sf):
     lines = table(spark, sf, "events").select(F.expr(LINE).alias("value")).withColumn("line", c("value"))
-    read = files.with_rescued(lines, T.StructType.fromDDL("event_id bigint, user_id bigint"))
+    read = files.with_rescued(lines, schemas.struct("event_id bigint, user_id bigint"))
     pairs = F.transform(F.map_entries("_rescued_data"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return read.select("line", "event_id", "user_id", F.array_join(F.array_sort(pairs), ";").alias("rescued"))
 

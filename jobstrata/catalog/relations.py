@@ -49,7 +49,7 @@ DAILY_KEYS_SQL = "date, company_normalized, city, state, country, seniority_leve
 )
 def c01(spark, sf):
     rows = materialize(silver(spark, sf), "silver")
-    metrics = materialize(jobs.daily_metrics(rows), "daily_metrics")
+    metrics = jobs.daily_metrics(rows)
     return jobs.current_postings(rows, metrics).select(
         "doc_id", "date", "company_normalized", "city", "jobs_count", "unique_jobs"
     )
@@ -140,7 +140,7 @@ REPLY_FLOW_SQL = f"{REPLY_SQL}, {SENT_SQL}, valid_reply AS (SELECT d.source AS r
     f"WITH {REPLY_FLOW_SQL} SELECT s.job_id, decision, responder, title, company, url FROM valid_reply v JOIN sent s ON s.job_id = v.job_id",
 )
 def c06(spark, sf):
-    latest = materialize(joins.latest_lookup(sent_log(spark, sf), "job_id", "notified_ts", ["url"]), "latest_sent")
+    latest = joins.latest_lookup(sent_log(spark, sf), "job_id", "notified_ts", ["url"])
     accepted, _ = feed.match_replies(replies(spark, sf), latest)
     return accepted.select("job_id", "decision", "responder", "title", "company", "url")
 
@@ -150,7 +150,7 @@ def c06(spark, sf):
     f"WITH {REPLY_FLOW_SQL} SELECT responder AS sender, decision, job_id FROM valid_reply v WHERE NOT EXISTS (SELECT 1 FROM sent s WHERE s.job_id = v.job_id)",
 )
 def c06_rejects(spark, sf):
-    latest = materialize(joins.latest_lookup(sent_log(spark, sf), "job_id", "notified_ts", ["url"]), "latest_sent")
+    latest = joins.latest_lookup(sent_log(spark, sf), "job_id", "notified_ts", ["url"])
     _, rejected = feed.match_replies(replies(spark, sf), latest)
     return rejected.select("sender", "decision", "job_id")
 

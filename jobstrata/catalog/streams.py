@@ -38,9 +38,7 @@ def i02(spark, sf):
     raw = raw_postings(spark, sf).filter(c("category") == "data_engineer")
     write_domain_files(raw.select(*RAW_POSTING.fieldNames()), landing, "data_engineer")
     gold = layers.run_domain(spark, landing, target, "data_engineer", ORDERS_DAY)
-    return spark.read.parquet(gold).drop("ingestion_timestamp").withColumn(
-        "posted_time_ts", c("posted_time_ts").cast("timestamp")
-    )
+    return gold.drop("ingestion_timestamp")
 
 
 def write_domain_files(df, path, domain):
@@ -119,7 +117,7 @@ def i07(spark, sf):
 def i08(spark, sf):
     store = feed.FeedStore(spark, fresh_path(spark, "feed"))
     store._write(sent_log(spark, sf), "sent", 1)
-    store.record_replies(replies(spark, sf), 1, lambda df: materialize(df, "latest_sent"))
+    store.record_replies(replies(spark, sf), 1)
     return store.responses().select("job_id", "decision", "responder", "title", "company", "url")
 
 
@@ -178,7 +176,7 @@ def k02(spark, sf):
 )
 def k03(spark, sf):
     rows = materialize(silver(spark, sf), "silver")
-    metrics = materialize(jobs.daily_metrics(rows), "daily_metrics")
+    metrics = jobs.daily_metrics(rows)
     views.register_job_views(jobs.current_postings(rows, metrics), jobs.data_quality({"silver": rows}))
     return spark.sql(
         "SELECT 'vw_jobs_current' AS name, count(*) AS n, count(DISTINCT doc_id) AS ids FROM vw_jobs_current "

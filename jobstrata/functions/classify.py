@@ -66,7 +66,10 @@ def tech_stack(text: Column, keywords: list[str] = vocab.TECH_KEYWORDS, whole_wo
         found = F.array_compact(
             F.array(
                 *[
-                    F.when(lowered.rlike(f"(^|[^a-z0-9]){re.escape(k)}([^a-z0-9]|$)"), F.lit(k))
+                    F.when(
+                        F.contains(lowered, F.lit(k)) & lowered.rlike(f"(^|[^a-z0-9]){re.escape(k)}([^a-z0-9]|$)"),
+                        F.lit(k),
+                    )
                     for k in keywords
                 ]
             )

@@ -1,4 +1,10 @@
-"""Joins, anti joins and layer differences."""
+"""Joins, anti joins and layer differences.
+
+Skew: adaptive execution splits a hot key only where both inputs of a join are fresh
+shuffles. An input that was just aggregated already has the join's partitioning and would get
+none, so these joins add a hash of the keys as one more key, which makes Spark shuffle the
+(small, one row per key) aggregated side once more and leaves the other side splittable.
+"""
 
 from __future__ import annotations
 
@@ -9,26 +15,40 @@ from pyspark.sql import functions as F
 
 from jobstrata.operators.select import keep_latest
 
+_HASH = "_key_hash"
+
+
+def _hashed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumn(_HASH, F.xxhash64(*keys))
+
+
+def _filtering_join(df: DataFrame, seen: DataFrame, keys: list[str], how: str) -> DataFrame:
+    known = _hashed(seen.select(*keys).distinct(), keys)
+    return _hashed(df, keys).join(known, [*keys, _HASH], how).select(*df.columns)
+
 
 def not_in(df: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key does not occur in ``seen``; NULL keys in ``seen`` change nothing."""
-    return df.join(seen.select(*keys).distinct(), keys, "left_anti")
+    return _filtering_join(df, seen, keys, "left_anti")
 
 
 def in_both(df: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key occurs in ``seen``."""
-    return df.join(seen.select(*keys).distinct(), keys, "left_semi")
+    return _filtering_join(df, seen, keys, "left_semi")
+
+
+def usable(key: str) -> Column:
+    return F.col(key).isNotNull() & (F.col(key).cast("string") != "")
 
 
 def distinct_ids(df: DataFrame, key: str) -> DataFrame:
     """All known ids of a history, without NULL and empty ones."""
-    return df.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != "")).select(key).distinct()
+    return df.filter(usable(key)).select(key).distinct()
 
 
 def new_only(df: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """Rows with a usable id that the history has never seen."""
-    usable = df.filter(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
-    return usable.join(distinct_ids(history, key), key, "left_anti")
+    return not_in(df.filter(usable(key)), history.filter(usable(key)), [key])
 
 
 def layer_difference(upper: DataFrame, lower: DataFrame, key: str) -> DataFrame:
@@ -36,20 +56,16 @@ def layer_difference(upper: DataFrame, lower: DataFrame, key: str) -> DataFrame:
     return distinct_ids(upper, key).join(distinct_ids(lower, key), key, "left_anti")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def attach_lookup(
     df: DataFrame, lookup: DataFrame, keys: list[str], columns: list[str], how: str = "left"
 ) -> DataFrame:
-    """Add columns of a table with one row per key; NULL keys match each other.
-
-    Pass a *written* lookup. An aggregate placed directly under the join already has the
-    join's partitioning, and then adaptive execution cannot split a hot key of ``df``.
-    """
-    slim = lookup.select(*keys, *columns)
-    return df.join(slim, _null_safe(df, slim, keys), how).select(df["*"], *[slim[c] for c in columns])
+    """Add columns of a table with one row per key; NULL keys match each other."""
+    left = _hashed(df, keys)
+    right = _hashed(lookup.select(*keys, *columns), keys)
+    for k in [*keys, _HASH]:
+        right = right.withColumnRenamed(k, f"_r_{k}")
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in [*keys, _HASH]])
+    return left.join(right, match, how).select(*df.columns, *columns)
 
 
 def outer_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -13,18 +13,16 @@ the anti join against the sent log keeps a rerun from notifying twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobstrata import schemas, vocab
 from jobstrata.functions.dates import AsOf, as_timestamp
 from jobstrata.functions.location import city_matches
-from jobstrata.functions.messages import notification_text, parse_reply
-from jobstrata.operators.joins import not_in
-from jobstrata.operators.select import keep_first, keep_latest
+from jobstrata.functions.messages import notification_text, numbered_text, parse_reply
+from jobstrata.operators.joins import attach_lookup, latest_lookup, not_in
+from jobstrata.operators.select import keep_first
 
 FEED_COLUMNS = [
     "domain", "job_id", "title", "company", "work_modality", "country", "state", "city", "posted_time_ts", "url"
@@ -71,6 +69,23 @@ def with_message(feed: DataFrame) -> DataFrame:
     )
 
 
+def numbered_feed(feed: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of the feed with their position and the number of rows in the text.
+
+    The feed is cut to ``n`` rows before it is numbered in one task.
+    """
+    c = F.col
+    blank = lambda name: F.coalesce(c(name), F.lit(""))
+    first = ordered(feed, n)
+    everything = Window.partitionBy()
+    position = F.row_number().over(everything.orderBy(F.asc("posted_time_ts"), F.asc("job_id")))
+    text = numbered_text(
+        position, F.count("*").over(everything), blank("domain"), blank("title"), blank("company"),
+        blank("work_modality"), c("job_id"), blank("url"),
+    )
+    return first.withColumn("message", text)
+
+
 def sent_rows(feed: DataFrame, at: Column | None = None) -> DataFrame:
     stamp = F.current_timestamp() if at is None else at
     return feed.withColumn("notified_ts", stamp).select(
@@ -83,22 +98,20 @@ def match_replies(
 ) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected replies. ``replies`` has ``sender`` and ``message``.
 
-    ``latest_sent`` holds one row per id and should be a written table (see
-    ``joins.attach_lookup``): then a posting that draws a large share of all replies is
-    split over tasks.
+    ``latest_sent`` holds one row per id. A posting that draws a large share of all replies
+    is split over tasks by the lookup join.
     """
     parsed = replies.withColumn("_reply", parse_reply(F.col("message"))).filter("_reply.valid").select(
         *replies.columns, F.col("_reply.decision").alias("decision"), F.col("_reply.job_id").alias("job_id")
     )
     stamp = F.current_timestamp() if at is None else at
     accepted = (
-        parsed.join(latest_sent.drop("posted_time_ts", "notified_ts"), "job_id")
+        attach_lookup(parsed, latest_sent, ["job_id"], ["title", "company", "work_modality", "url"], "inner")
         .withColumn("decision_ts", stamp)
         .withColumn("responder", F.col("sender"))
         .select(*[F.col(f.name).cast(f.dataType) for f in schemas.RESPONSES.fields])
     )
-    rejected = parsed.join(latest_sent.select("job_id"), "job_id", "left_anti")
-    return accepted, rejected
+    return accepted, not_in(parsed, latest_sent, ["job_id"])
 
 
 class FeedStore:
@@ -164,9 +177,9 @@ class FeedStore:
         self.set_mark(newest.filter("last_posted_time_ts IS NOT NULL"), cycle)
         return outbox
 
-    def record_replies(self, replies: DataFrame, cycle: int, materialize: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def record_replies(self, replies: DataFrame, cycle: int) -> DataFrame:
         """Store the valid replies to notified postings; returns the rejected ones."""
-        latest = materialize(keep_latest(self.sent(), ["job_id"], "notified_ts", ["url"]).drop("cycle"))
+        latest = latest_lookup(self.sent().drop("cycle"), "job_id", "notified_ts", ["url"])
         accepted, rejected = match_replies(replies, latest)
         self._write(accepted, "responses", cycle)
         return rejected

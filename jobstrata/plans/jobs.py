@@ -158,7 +158,7 @@ def location_insights(silver: DataFrame) -> DataFrame:
 def current_postings(silver: DataFrame, metrics: DataFrame) -> DataFrame:
     """Silver rows with the counts of their daily group, one row per posting.
 
-    ``metrics`` is the written daily table, joined on all of its keys.
+    ``metrics`` is the daily table, joined on all of its keys.
     """
     return joins.attach_lookup(
         silver.withColumn("date", posting_day()), metrics, DAILY_KEYS, ["jobs_count", "unique_jobs"]

@@ -4,8 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "boolean": T.BooleanType(),
+    "double": T.DoubleType(), "timestamp": T.TimestampType(), "binary": T.BinaryType(),
+}
+
+
+def struct(fields: str) -> T.StructType:
+    """Schema from ``name type`` pairs, without the session that Spark's own parser needs."""
+    pairs = [f.split() for f in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # Raw posting, one JSON object per line.
-RAW_POSTING = T.StructType.fromDDL(
+RAW_POSTING = struct(
     "job_id string, title string, company string, location string, description string, "
     "description_snippet string, description_length bigint, url string, posted_time string, "
     "extract_timestamp string, source string, search_term string, category string, "
@@ -16,16 +28,16 @@ RAW_POSTING = T.StructType.fromDDL(
 # Message value: the raw posting plus five fields the producer adds.
 MESSAGE = T.StructType(
     RAW_POSTING.fields
-    + T.StructType.fromDDL(
+    + struct(
         "posted_date string, extract_date string, is_new boolean, batch_id string, type string"
     ).fields
 )
 
 # Message envelope as a broker delivers it.
-ENVELOPE = T.StructType.fromDDL("key binary, value binary, timestamp timestamp")
+ENVELOPE = struct("key binary, value binary, timestamp timestamp")
 
 # API payload: the company arrives as an object or as plain text, so it is read as text first.
-PAYLOAD_ITEM = T.StructType.fromDDL(
+PAYLOAD_ITEM = struct(
     "id string, job_id string, title string, company string, location string, city string, "
     "state string, country string, url string, link string, listed_at string, posted_at string, "
     "contract_type string, job_type string, salary_min string, salary_max string, "
@@ -33,7 +45,7 @@ PAYLOAD_ITEM = T.StructType.fromDDL(
     "is_promote boolean, is_promoted boolean"
 )
 PAYLOAD = T.StructType().add("success", T.BooleanType()).add("data", T.ArrayType(PAYLOAD_ITEM))
-PAYLOAD_COMPANY = T.StructType.fromDDL("name string, id string, url string")
+PAYLOAD_COMPANY = struct("name string, id string, url string")
 
 BRONZE = RAW_POSTING.fieldNames() + ["_rescued_data", "ingestion_timestamp", "source_file", "extract_date"]
 
@@ -60,12 +72,12 @@ GOLD = (
 
 GOLD_ALL = ["domain"] + GOLD + ["effective_posted_time"]
 
-STATE = T.StructType.fromDDL("last_posted_time_ts timestamp")
-SENT = T.StructType.fromDDL(
+STATE = struct("last_posted_time_ts timestamp")
+SENT = struct(
     "job_id string, title string, company string, work_modality string, url string, "
     "posted_time_ts timestamp, notified_ts timestamp"
 )
-RESPONSES = T.StructType.fromDDL(
+RESPONSES = struct(
     "job_id string, decision string, decision_ts timestamp, responder string, title string, "
     "company string, work_modality string, url string"
 )

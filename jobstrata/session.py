@@ -19,6 +19,7 @@ def local_session(cores: str = "*", app: str = "jobstrata", **conf: str) -> Spar
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
@@ -53,8 +54,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
-    The files outlive lost executors, and a join on the written table starts from a plain
-    exchange, which adaptive execution can split when one key is hot.
+    The files outlive lost executors, and whatever is read from them twice is computed once.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)

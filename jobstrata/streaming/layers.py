@@ -20,8 +20,8 @@ def read_layer_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFr
 
 def run_domain(
     spark: SparkSession, source: str, target: str, domain: str, as_of: AsOf = None, unique: bool = False
-) -> str:
-    """Bring all layers of a domain up to date and return the folder of the gold layer.
+) -> DataFrame:
+    """Bring all layers of a domain up to date and return the gold layer as a batch frame.
 
     Each layer is a stream with a checkpoint of its own, so a rerun takes up new files only.
     With ``unique`` the staging layer drops repeats of a posting within the watermark.
@@ -38,12 +38,11 @@ def run_domain(
     if unique:
         staged = drop_repeats(staged.filter(F.col("extract_ts").isNotNull()), ["job_id"], "extract_ts")
     md = run(medallion.silver_md(run(staged, "silver_stg")), "silver_md")
-    run(medallion.gold(md, as_of), "gold")
-    return f"{base}/gold"
+    gold = medallion.gold(md, as_of)
+    run(gold, "gold")
+    return spark.read.schema(gold.schema).parquet(f"{base}/gold")
 
 
 def run_all(spark: SparkSession, source: str, target: str, as_of: AsOf = None) -> DataFrame:
     """All domains to gold, then their union."""
-    return medallion.gold_all(
-        {d: spark.read.parquet(run_domain(spark, source, target, d, as_of)) for d in vocab.DOMAINS}
-    )
+    return medallion.gold_all({d: run_domain(spark, source, target, d, as_of) for d in vocab.DOMAINS})
