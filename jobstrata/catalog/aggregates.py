@@ -69,7 +69,7 @@ def d04(spark, sf):
 
 PROFILED = {
     "doc_id": "doc_id", "job_id": "job_id", "company": "company", "category": "category", "type": "type", "url": "url", "title": "title",
-    "rare": "CASE WHEN doc_id % 50 = 7 THEN lang END",
+    "description": "description", "rare": "CASE WHEN doc_id % 50 = 7 THEN lang END",
 }
 
 
@@ -146,7 +146,7 @@ def d12(spark, sf):
 
 @query(
     "d13_sent_log_stats",
-    "SELECT count(*) + sum(quality) AS n, TIMESTAMP '2024-01-02' AS first_ts, TIMESTAMP '2024-01-03' AS last_ts FROM labels",
+    "SELECT CAST(count(*) + sum(quality) AS bigint) AS n, TIMESTAMP '2024-01-02' AS first_ts, TIMESTAMP '2024-01-03' AS last_ts FROM labels",
 )
 def d13(spark, sf):
     return marts.window_stats(sent_log(spark, sf), "notified_ts")
@@ -315,8 +315,8 @@ def d29(spark, sf):
     "d30_threshold_check",
     over_postings("title", "place", more="""r AS (SELECT count(*) AS t, greatest(count(*) - count(job_id), count(*) - count(title), count(*) - count(location)) / count(*) AS nulls,
       (count(*) - count(DISTINCT coalesce(job_id, '#'))) / count(*) AS dups, count(*) FILTER (job_id IS NOT NULL AND title IS NOT NULL AND location IS NOT NULL) / count(*) AS complete FROM pv)""",
-      body="""SELECT 'bronze' AS layer, 'null_ratio' AS metric, nulls AS value, 0.05 AS threshold, nulls <= 0.05 AS ok FROM r UNION ALL SELECT 'bronze', 'duplicate_ratio', dups, 0.1, dups <= 0.1 FROM r
-      UNION ALL SELECT 'silver', 'null_ratio', nulls, 0.02, nulls <= 0.02 FROM r UNION ALL SELECT 'silver', 'completeness', complete, 0.95, complete >= 0.95 FROM r"""),
+      body="""SELECT 'bronze' AS layer, 'null_ratio' AS metric, nulls AS value, 0.05::double AS threshold, nulls <= 0.05 AS ok FROM r UNION ALL SELECT 'bronze', 'duplicate_ratio', dups, 0.1::double, dups <= 0.1 FROM r
+      UNION ALL SELECT 'silver', 'null_ratio', nulls, 0.02::double, nulls <= 0.02 FROM r UNION ALL SELECT 'silver', 'completeness', complete, 0.95::double, complete >= 0.95 FROM r"""),
 )
 def d30(spark, sf):
     ratios = quality.layer_ratios(postings(spark, sf, "title", "place"), ["job_id"], ["job_id", "title", "location"])

@@ -94,7 +94,7 @@ def a05(spark, sf):
     return read.select("line", "event_id", "user_id", F.array_join(F.array_sort(pairs), ";").alias("rescued"))
 
 
-@query("a06_raw_json_inferred", "SELECT event_type, count(*) AS n, sum(event_id) AS id_sum FROM events GROUP BY event_type")
+@query("a06_raw_json_inferred", "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS bigint) AS id_sum FROM events GROUP BY event_type")
 def a06(spark, sf):
     raw = fresh_path(spark, "raw")
     table(spark, sf, "events").select("event_id", "event_type").write.json(raw)
@@ -137,7 +137,7 @@ def a10(spark, sf):
 
 @query(
     "a11_json_by_category",
-    "SELECT event_type AS category, CAST(ts AS date) AS extract_date, count(*) AS n, sum(event_id) AS id_sum FROM events GROUP BY ALL",
+    "SELECT event_type AS category, CAST(ts AS date) AS extract_date, count(*) AS n, CAST(sum(event_id) AS bigint) AS id_sum FROM events GROUP BY ALL",
 )
 def a11(spark, sf):
     out = fresh_path(spark, "by_category")
@@ -151,7 +151,7 @@ def a11(spark, sf):
 
 @query(
     "a12_message_encode",
-    "SELECT event_type AS key, count(*) AS n, sum(event_id) AS id_sum, count(DISTINCT event_type) AS types FROM events GROUP BY event_type",
+    "SELECT event_type AS key, count(*) AS n, CAST(sum(event_id) AS bigint) AS id_sum, count(DISTINCT event_type) AS types FROM events GROUP BY event_type",
 )
 def a12(spark, sf):
     sent = messages.encode_messages(table(spark, sf, "events").select("event_id", "user_id"), F.lit("x"))

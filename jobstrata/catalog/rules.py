@@ -146,7 +146,7 @@ def b05(spark, sf):
 
 @query(
     "b06_expectations_warn",
-    over_postings("title", "place", body="""SELECT rule, sum(CASE WHEN ok THEN 1 ELSE 0 END) AS passed, sum(CASE WHEN ok THEN 0 ELSE 1 END) AS failed FROM (
+    over_postings("title", "place", body="""SELECT rule, count(*) FILTER (ok) AS passed, count(*) FILTER (NOT ok) AS failed FROM (
     SELECT unnest(['job_id_not_null','title_not_null','company_not_null','location_not_null','unique_job_id','valid_location']) AS rule,
            unnest([job_id IS NOT NULL, title IS NOT NULL, company IS NOT NULL, location IS NOT NULL, job_id IS NOT NULL,
                    location IS NOT NULL AND length(location) > 2]) AS ok FROM pv) GROUP BY rule"""),

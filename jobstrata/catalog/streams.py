@@ -54,6 +54,15 @@ def i03(spark, sf):
     return spark.read.schema("event_id bigint, event_date date").parquet(out).groupBy("event_date").agg(F.count("*").alias("n"))
 
 
+@query("i04_timed_micro_batches", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def i04(spark, sf):
+    out = fresh_path(spark, "timed")
+    running = append_parquet(events_stream(spark, sf).select("event_type"), out, fresh_path(spark, "ckpt"), every="1 second")
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.schema("event_type string").parquet(out).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 @query("i05_stream_dedup", "SELECT DISTINCT user_id FROM events")
 def i05(spark, sf):
     out = fresh_path(spark, "unique")

@@ -34,7 +34,7 @@ def parse_reply(text: Column) -> Column:
     A reply is valid with two or more words of which the first is SIM or NAO. Only that
     word is upper-cased: ids keep their case.
     """
-    words = F.filter(F.split(F.trim(text), WHITESPACE), lambda w: w != "")
+    words = F.split(F.trim(F.regexp_replace(text, WHITESPACE, " ")), " ")
     decision = F.upper(F.get(words, F.lit(0)))
     valid = F.coalesce((F.size(words) >= 2) & decision.isin("SIM", "NAO"), F.lit(False))
     return F.struct(

@@ -91,10 +91,10 @@ def batch_id(category: Column, extract_date: Column, ts: Column) -> Column:
 
 def search_relevant(title: Column, term: Column) -> Column:
     """At least half (and at least one) of the term's words occur in the title."""
-    words = F.filter(F.split(F.lower(term), WHITESPACE), lambda w: w != "")
+    words = F.split(normalize_text(term), " ")
     hits = F.size(F.filter(words, lambda w: F.contains(F.lower(title), w)))
     needed = F.greatest(F.lit(1), F.floor(F.size(words) / 2).cast("int"))
-    return F.coalesce(hits >= needed, F.lit(False))
+    return present(normalize_text(term)) & F.coalesce(hits >= needed, F.lit(False))
 
 
 def title_relevant(title: Column, category: Column, terms: dict[str, list[str]] | None = None) -> Column:

@@ -159,15 +159,21 @@ def null_profile(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     )
 
 
-def column_frequencies(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def column_frequencies(df: DataFrame, columns: list[str] | None = None, digest: bool = False) -> DataFrame:
     """How often each value of each column occurs, as ``column, value, n``.
 
     One scan and one shuffle serve all columns, and counts are combined before the shuffle.
+    With ``digest`` values longer than a SHA-256 digest are replaced by theirs, which is
+    enough to count them and keeps long texts out of the shuffle.
     """
     columns = columns or df.columns
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    )
+    digested = [f.name for f in df.schema.fields if digest and f.dataType.typeName() == "string"]
+
+    def value(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text) if c in digested else text
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in columns])
     return df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
@@ -177,7 +183,7 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     Columns that are at least 90 % NULL report no distinct values.
     """
     stats = (
-        column_frequencies(df, columns)
+        column_frequencies(df, columns, digest=True)
         .groupBy("column")
         .agg(
             F.sum("n").alias("total_rows"),
