@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobstrata import vocab
@@ -72,6 +72,16 @@ def expectation_report(df: DataFrame, rules: Rules) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def watch(df: DataFrame, rules: Rules, observation: Observation | str) -> DataFrame:
+    """The same rows, with passes per rule counted while they flow by.
+
+    Needs no second pass over the data and works on streams, where the counts appear in the
+    query's progress under the observation's name. ``total`` counts all rows.
+    """
+    counts = [F.count_if(_passes(rule)).alias(name) for name, rule in rules.items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("total"), *counts)
+
+
 def keep_valid(df: DataFrame, rules: Rules) -> DataFrame:
     """Rows that pass every rule."""
     return df.filter(reduce(lambda a, b: a & b, [_passes(r) for r in rules.values()]))

@@ -44,7 +44,12 @@ def pending(
     ``slack`` looks further back than the mark, so that a row that arrives late is still
     found; the anti join is what keeps notified rows out.
     """
-    newer = F.col("effective_posted_time") > since - F.expr(f"INTERVAL {slack}")
+    bound = since - F.expr(f"INTERVAL {slack}")
+    newer = F.col("effective_posted_time") > bound
+    if {"posted_time_ts", "ingestion_timestamp"} <= set(gold_all.columns):
+        # The effective time spelled out over stored columns, a form that reaches the scan.
+        posted, ingested = F.col("posted_time_ts"), F.col("ingestion_timestamp")
+        newer = (posted > bound) | (posted.isNull() & (ingested > bound))
     rows = gold_all.filter(newer & (city_matches(F.col("city")) if place is None else place))
     return (
         not_in(rows, sent, ["job_id"])

@@ -10,6 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dirs: dict[str, str] = {}
 
 
+# State of streaming dedup in RocksDB: it lives on disk, and only changes are checkpointed.
+STREAM_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def local_session(cores: str = "*", app: str = "jobstrata", **conf: str) -> SparkSession:
     """A session for tests and single-machine runs; clusters bring their own."""
     builder = (
@@ -22,7 +31,7 @@ def local_session(cores: str = "*", app: str = "jobstrata", **conf: str) -> Spar
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
-    for key, value in conf.items():
+    for key, value in (STREAM_STATE | conf).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

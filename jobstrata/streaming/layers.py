@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from jobstrata import vocab
 from jobstrata.functions.dates import AsOf
+from jobstrata.operators import quality
 from jobstrata.plans import medallion
 from jobstrata.sources.files import read_bronze
 from jobstrata.streaming.dedup import drop_repeats
-from jobstrata.streaming.runs import append_parquet, run_to_end
+from jobstrata.streaming.runs import append_parquet, observed_totals, run_to_end
 
 
 def read_layer_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -18,28 +19,40 @@ def read_layer_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFr
     return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", vocab.MAX_FILES_PER_TRIGGER).parquet(path)
 
 
+# Layers that are split by extraction day on disk.
+BY_DAY = ("bronze", "silver_stg", "silver_md")
+
+
 def run_domain(
-    spark: SparkSession, source: str, target: str, domain: str, as_of: AsOf = None, unique: bool = False
+    spark: SparkSession, source: str, target: str, domain: str, as_of: AsOf = None, unique: bool = False,
+    report: dict[str, dict[str, int]] | None = None,
 ) -> DataFrame:
     """Bring all layers of a domain up to date and return the gold layer as a batch frame.
 
     Each layer is a stream with a checkpoint of its own, so a rerun takes up new files only.
     With ``unique`` the staging layer drops repeats of a posting within the watermark.
+    ``report`` receives the rows and the passes of each expectation per layer of this run.
     """
     base = f"{target.rstrip('/')}/{domain}"
 
-    def run(df: DataFrame, layer: str) -> DataFrame:
+    def run(df: DataFrame, layer: str, rules: quality.Rules | None = None) -> DataFrame:
         """Bring one layer up to date and return it as a stream for the next."""
-        run_to_end(append_parquet(df, f"{base}/{layer}", f"{base}/_checkpoints/{layer}"))
+        watched = quality.watch(df, rules, layer) if rules else df
+        days = ("extract_date",) if layer in BY_DAY else ()
+        query = append_parquet(watched, f"{base}/{layer}", f"{base}/_checkpoints/{layer}", days)
+        run_to_end(query)
+        if report is not None:
+            report.update(observed_totals(query))
         return read_layer_stream(spark, f"{base}/{layer}", df)
 
     bronze = run(read_bronze(spark, source, domain, stream=True), "bronze")
     staged = medallion.silver_stg(bronze)
     if unique:
         staged = drop_repeats(staged.filter(F.col("extract_ts").isNotNull()), ["job_id"], "extract_ts")
-    md = run(medallion.silver_md(run(staged, "silver_stg")), "silver_md")
+    stg = run(staged, "silver_stg", quality.SILVER_STG_WARN)
+    md = run(medallion.silver_md(stg), "silver_md", quality.SILVER_MD_WARN)
     gold = medallion.gold(md, as_of)
-    run(gold, "gold")
+    run(gold, "gold", quality.GOLD_WARN)
     return spark.read.schema(gold.schema).parquet(f"{base}/gold")
 
 

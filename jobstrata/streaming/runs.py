@@ -26,6 +26,17 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def observed_totals(query: StreamingQuery) -> dict[str, dict[str, int]]:
+    """Counts of all observations of a run, added up over its micro-batches."""
+    totals: dict[str, dict[str, int]] = {}
+    for progress in query.recentProgress:
+        for name, row in progress.observedMetrics.items():
+            into = totals.setdefault(name, {})
+            for metric, value in row.asDict().items():
+                into[metric] = into.get(metric, 0) + value
+    return totals
+
+
 def each_batch(
     df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

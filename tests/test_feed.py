@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from jobstrata.plans.feed import FEED_COLUMNS, FeedStore, numbered_feed
+from jobstrata.plans.feed import FEED_COLUMNS, FeedStore, numbered_feed, pending
+from tests.helpers import plan_of
 
 NOW = dt.datetime(2025, 10, 6, 12, 0)
 AT = "2025-10-06 12:00:00"
@@ -77,6 +78,19 @@ def test_replies(spark, store):
     assert got == [("Job_a", "SIM", "me", "Dev"), ("b", "NAO", "you", "Dev")]
 
 
+def test_mark_reaches_the_scan(spark, tmp_path):
+    rows = gold(spark, ("a", 10, "recife")).withColumns(
+        {"posted_time_ts": F.lit(None).cast("timestamp"), "ingestion_timestamp": F.col("effective_posted_time")}
+    )
+    rows.drop("effective_posted_time").write.parquet(str(tmp_path / "gold"))
+    stored = spark.read.parquet(str(tmp_path / "gold"))
+    view = stored.withColumn("effective_posted_time", F.coalesce("posted_time_ts", "ingestion_timestamp"))
+    sent = spark.createDataFrame([], "job_id string")
+    feed = pending(view, sent, F.lit("2025-10-06 11:00:00").cast("timestamp"))
+    assert ids(feed) == ["a"]
+    assert "Or(GreaterThan(posted_time_ts" in plan_of(feed)
+
+
 def test_numbered_messages(spark):
     rows = gold(spark, ("a", 10, "recife"), ("b", 5, "recife")).withColumn("posted_time_ts", F.col("effective_posted_time"))
     texts = {r.job_id: r.message for r in numbered_feed(rows, 50).collect()}

@@ -1,6 +1,7 @@
 """Expectations, profiles and thresholds."""
 
 import pytest
+from pyspark.sql import Observation
 
 from jobstrata.operators import quality
 
@@ -16,6 +17,12 @@ def test_warn_counts_and_keeps(rows):
     assert report == {"id": (4, 1), "title": (3, 2)}
 
 
+def test_watch_counts_while_rows_flow_by(rows):
+    seen = Observation("rules")
+    assert quality.watch(rows, {"title": "length(title) > 0"}, seen).count() == 5
+    assert seen.get == {"total": 5, "title": 3}
+
+
 def test_drop_treats_null_as_failure(rows):
     assert quality.keep_valid(rows, {"title": "length(title) > 0"}).count() == 3
 

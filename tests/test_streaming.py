@@ -30,14 +30,18 @@ def land(root, day, name, rows):
 def test_three_runs_equal_one_batch(spark, tmp_path):
     source, target = tmp_path / "landing", str(tmp_path / "lake")
     gold = None
+    counted = {}
     for step, day in enumerate(("2025-09-02", "2025-09-03", "2025-09-04")):
         rows = [posting(10 * step + i) for i in range(5)] + [posting(90 + step, title=None), posting(80 + step, job_id="")]
         land(source, day, f"data_engineer_{day}.jsonl", rows)
         land(source, day, f"data_analytics_{day}.jsonl", [posting(70)])
-        gold = layers.run_domain(spark, str(source), target, "data_engineer", ORDERS_DAY)
+        gold = layers.run_domain(spark, str(source), target, "data_engineer", ORDERS_DAY, report=counted)
     streamed = gold.select(FIELDS)
     batch = medallion.refine(read_bronze(spark, str(source), "data_engineer"), ORDERS_DAY).select(FIELDS)
     assert streamed.count() == 15
+    assert counted["silver_stg"] == {"total": 7, "job_id_not_null": 7, "title_not_null": 6, "company_not_null": 7, "location_not_null": 7}
+    assert counted["silver_md"] == {"total": 5, "unique_job_id": 5, "valid_location": 5}
+    assert counted["gold"] == {"total": 5, "has_job_id": 5, "has_ingestion_ts": 5}
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     row = streamed.filter("job_id = 'j11'").first()
     assert (row.title, row.city, row.state, row.is_premium_salary, row.is_recent_posting) == ("dev 11", "recife", "pe", True, True)
