@@ -11,6 +11,7 @@ from jobstrata.catalog.rules import (
     CORPUS_CITIES, CORPUS_CITY_PARTS, KEYWORDS_SQL, RUNS_SQL, TECH_STACK_SQL, CORPUS_KEYWORDS, customers_with_city, run_table,
 )
 from jobstrata.functions import classify, location
+from jobstrata.functions.dates import not_before
 from jobstrata.operators import joins, quality
 from jobstrata.plans import jobs, marts, monitoring, star
 from jobstrata.session import materialize
@@ -137,7 +138,8 @@ def d11(spark, sf):
     WHERE lower(n_name) IN ('nation_1','nation_7','nation_12') AND o_orderdate >= TIMESTAMP '2001-08-02' - INTERVAL 90 DAYS AND NOT EXISTS (SELECT 1 FROM labels WHERE doc_id = o_orderkey)""",
 )
 def d12(spark, sf):
-    posted = table(spark, sf, "orders").filter(marts.within_last(c("o_orderdate"), ORDERS_DAY, "90 DAYS"))
+    orders = table(spark, sf, "orders")
+    posted = orders.filter(not_before(orders, "o_orderdate", ORDERS_DAY, "90 DAYS"))
     placed = posted.join(customers_with_city(spark, sf), c("o_custkey") == c("c_custkey"))
     sent = table(spark, sf, "labels").select(c("doc_id").alias("o_orderkey"))
     here = placed.filter(location.city_in(c("n_name"), CORPUS_CITIES))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobstrata import vocab
@@ -25,6 +25,21 @@ def as_timestamp(as_of: AsOf) -> Column:
     return as_of.cast("timestamp") if isinstance(as_of, Column) else F.lit(str(as_of)).cast("timestamp")
 
 
+def not_older(df: DataFrame, column: str, as_of: AsOf, days: int) -> Column:
+    """Rows dated at most ``days`` days before ``as_of``.
+
+    The bound takes the type of the column (date, timestamp or ISO text), so the comparison
+    needs no cast of stored values and reaches the scan.
+    """
+    return F.col(column) >= F.date_sub(as_date(as_of), days).cast(df.schema[column].dataType)
+
+
+def not_before(df: DataFrame, column: str, as_of: AsOf, interval: str) -> Column:
+    """Rows no older than an interval such as ``6 HOURS`` before ``as_of``."""
+    bound = as_timestamp(as_of) - F.expr(f"INTERVAL {interval}")
+    return F.col(column) >= bound.cast(df.schema[column].dataType)
+
+
 def parse_timestamp(c: Column) -> Column:
     """ISO text to timestamp; what cannot be read becomes NULL."""
     return F.try_to_timestamp(c)

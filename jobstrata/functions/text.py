@@ -22,8 +22,8 @@ def lower_trim(c: Column) -> Column:
 
 
 def present(c: Column) -> Column:
-    """True when the text is neither NULL nor empty."""
-    return F.coalesce(c != "", F.lit(False))
+    """True when the text is neither NULL nor empty; never NULL itself."""
+    return c.isNotNull() & (c != "")
 
 
 def blank_to_null(c: Column) -> Column:

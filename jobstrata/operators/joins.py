@@ -51,6 +51,15 @@ def new_only(df: DataFrame, history: DataFrame, key: str) -> DataFrame:
     return not_in(df.filter(usable(key)), history.filter(usable(key)), [key])
 
 
+def narrow_history(history: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """The part of a large history that the ids of a small frame can meet.
+
+    When the ids pass Spark's broadcast check the history is filtered as it is read and never
+    shuffled; otherwise this is an ordinary semi join. Use it where ``df`` is a micro-batch.
+    """
+    return history.select(key).join(distinct_ids(df, key), key, "left_semi")
+
+
 def layer_difference(upper: DataFrame, lower: DataFrame, key: str) -> DataFrame:
     """Ids of ``upper`` that ``lower`` lacks."""
     return distinct_ids(upper, key).join(distinct_ids(lower, key), key, "left_anti")

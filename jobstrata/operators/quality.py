@@ -83,8 +83,11 @@ def watch(df: DataFrame, rules: Rules, observation: Observation | str) -> DataFr
 
 
 def keep_valid(df: DataFrame, rules: Rules) -> DataFrame:
-    """Rows that pass every rule."""
-    return df.filter(reduce(lambda a, b: a & b, [_passes(r) for r in rules.values()]))
+    """Rows that pass every rule.
+
+    A filter drops rows whose rule is NULL anyway, so the rules stay bare and reach the scan.
+    """
+    return df.filter(reduce(lambda a, b: a & b, [F.expr(r) for r in rules.values()]))
 
 
 @dataclass(frozen=True)

@@ -21,7 +21,7 @@ from jobstrata import schemas, vocab
 from jobstrata.functions.dates import AsOf, as_timestamp
 from jobstrata.functions.location import city_matches
 from jobstrata.functions.messages import notification_text, numbered_text, parse_reply
-from jobstrata.operators.joins import attach_lookup, latest_lookup, not_in
+from jobstrata.operators.joins import attach_lookup, latest_lookup, narrow_history, not_in
 from jobstrata.operators.select import keep_first
 
 FEED_COLUMNS = [
@@ -52,7 +52,7 @@ def pending(
         newer = (posted > bound) | (posted.isNull() & (ingested > bound))
     rows = gold_all.filter(newer & (city_matches(F.col("city")) if place is None else place))
     return (
-        not_in(rows, sent, ["job_id"])
+        not_in(rows, narrow_history(sent, rows, "job_id"), ["job_id"])
         .withColumn("posted_time_ts", F.col("effective_posted_time"))
         .select(*FEED_COLUMNS)
     )

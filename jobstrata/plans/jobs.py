@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jobstrata import vocab
 from jobstrata.functions import classify, location
-from jobstrata.functions.dates import AsOf, as_date
+from jobstrata.functions.dates import AsOf, as_date, not_older
 from jobstrata.operators import joins, quality
 from jobstrata.operators.select import daily_unique, rank_all
 from jobstrata.operators.sets import union_labelled
@@ -94,8 +94,7 @@ def tech_counts(silver: DataFrame, as_of: AsOf = None, windows: tuple[int, ...]
     """
     age = F.datediff(as_date(as_of), F.to_date("extract_date"))
     per_job = (
-        tech_mentions(silver)
-        .filter(age <= max(windows))
+        tech_mentions(silver.filter(not_older(silver, "extract_date", as_of, max(windows))))
         .groupBy("tech", "job_id")
         .agg(*[F.count_if(age <= n).alias(f"_m{n}") for n in windows])
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobstrata.functions.dates import AsOf, as_date, as_timestamp
+from jobstrata.functions.dates import AsOf, as_date, not_older
 from jobstrata.operators.select import count_top
 from jobstrata.operators.sets import union_labelled
 
@@ -23,9 +23,8 @@ def freshness(df: DataFrame, by: str, ingested: str, posted: str, as_of: AsOf =
 
 
 def daily_volume(df: DataFrame, ts: str, as_of: AsOf = None, days: int = 30) -> DataFrame:
-    start = as_date(as_of) - F.expr(f"INTERVAL {days} DAYS")
     return (
-        df.filter(F.col(ts) >= start.cast("timestamp"))
+        df.filter(not_older(df, ts, as_of, days))
         .groupBy(F.to_date(ts).alias("day"))
         .agg(F.count("*").alias("n"))
     )
@@ -89,8 +88,7 @@ def company_summary(df: DataFrame, company: str, key: str, low: str, high: str)
 def share(df: DataFrame, by: str) -> DataFrame:
     """Rows per value and their percentage of all rows with a value, one digit."""
     counts = df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("n"))
-    # One row per value of a label column, so the total is taken over a small frame.
-    total = F.sum("n").over(Window.partitionBy())
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 1))
 
 
@@ -198,10 +196,6 @@ def high_water_mark(df: DataFrame, ts: str) -> DataFrame:
     return df.agg(F.max(ts).alias("high_water_mark"))
 
 
-def within_last(ts: Column, as_of: AsOf, interval: str) -> Column:
-    return ts.cast("timestamp") >= as_timestamp(as_of) - F.expr(f"INTERVAL {interval}")
-
-
 def series(df: DataFrame, day: str, n: int) -> DataFrame:
     """The newest ``n`` days of a daily series."""
     return df.orderBy(F.desc(day)).limit(n)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jobstrata import schemas, vocab
 from jobstrata.functions.classify import listing_modality
-from jobstrata.functions.dates import AsOf, as_timestamp, is_recent_listing, parse_timestamp
+from jobstrata.functions.dates import AsOf, as_timestamp, is_recent_listing, not_before, parse_timestamp
 from jobstrata.functions.location import parse_listing, rebuild_location
 from jobstrata.functions.salary import payload_has_salary
 from jobstrata.functions.text import payload_quality, present
@@ -98,8 +98,7 @@ def search_postings(
     """Newest postings that hold the keyword, at most ``within`` old, optionally remote only."""
     out = df.filter(F.contains(F.lower(F.col(text)), F.lit(keyword.lower())))
     if within is not None:
-        now = as_timestamp(as_of)
-        out = out.filter(F.col(ts).cast("timestamp") >= now - F.expr(f"INTERVAL {within}"))
+        out = out.filter(not_before(out, ts, as_of, within))
     if remote is not None:
         out = out.filter(remote)
     return out.orderBy(F.desc_nulls_last(ts), F.asc(tiebreak)).limit(limit)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.functions.messages import alert_payload
-from jobstrata.operators.joins import new_only
+from jobstrata.operators.joins import narrow_history, new_only
 from jobstrata.operators.select import keep_first
 
 
@@ -40,8 +40,11 @@ class AlertSink:
         return self.history.unionByName(earlier.select("job_id"))
 
     def apply(self, df: DataFrame, batch: int) -> None:
-        fresh = keep_first(new_only(df, self._seen(batch), "job_id"), ["job_id"], self.arrival)
+        df.persist()
+        seen = narrow_history(self._seen(batch), df, "job_id")
+        fresh = keep_first(new_only(df, seen, "job_id"), ["job_id"], self.arrival)
         alerts = alert_rows(fresh)
         alerts.write.mode("overwrite").partitionBy("key").json(f"{self.root}/alerts/batch={batch}")
         sent = self.spark.read.schema(alerts.schema).json(f"{self.root}/alerts/batch={batch}")
         sent.select("job_id").write.mode("overwrite").parquet(f"{self.root}/seen/batch={batch}")
+        df.unpersist()
