@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -38,14 +39,21 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     return add
 
 
+_stored: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from the files once, which saves a job per read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _stored:
+        _stored[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_stored[path]).parquet(path)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as a stream, whether it is stored as one file or as a folder of files."""
     path = f"{sf_dir}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(location).isDirectory():
         return reader.parquet(path)

@@ -29,6 +29,8 @@ def local_session(cores: str = "*", app: str = "jobstrata", **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording a Python call site for every Column makes large plans slow to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in (STREAM_STATE | conf).items():
