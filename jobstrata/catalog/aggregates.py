@@ -8,7 +8,7 @@ from jobstrata.catalog.base import EVENTS_DAY, ORDERS_DAY, over_postings, postin
 from jobstrata.catalog.ingest import LEGACY_SQL, legacy_postings
 from jobstrata.catalog.relations import DAILY_KEYS_SQL, SHIPPED_SQL, SILVER_PARTS, SILVER_SQL, sent_log, shipped, silver, with_stack
 from jobstrata.catalog.rules import (
-    CORPUS_CITIES, CORPUS_CITY_PARTS, KEYWORDS_SQL, RUNS_SQL, TECH_STACK_SQL, CORPUS_KEYWORDS, customers_with_city, run_table,
+    CORPUS_CITIES, CORPUS_CITY_PARTS, RUNS_SQL, TECH_STACK_SQL, CORPUS_KEYWORDS, customers_with_city, run_table,
 )
 from jobstrata.functions import classify, location
 from jobstrata.functions.dates import not_before

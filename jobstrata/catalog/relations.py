@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobstrata.catalog.base import EVENTS_DAY, ORDERS_DAY, over_postings, postings, query, table
+from jobstrata.catalog.base import over_postings, postings, query, table
 from jobstrata.catalog.rules import (
-    COMPANY_SQL, CORPUS_KEYWORDS, GENERAL_PLACE_SQL, JOB_TYPE_SQL, KEYWORDS_SQL, REPLY, REPLY_SQL, SENIORITY_SQL, TECH_STACK_SQL,
-    customers_with_city, run_table, RUNS_SQL,
+    COMPANY_SQL, CORPUS_KEYWORDS, GENERAL_PLACE_SQL, JOB_TYPE_SQL, REPLY, REPLY_SQL, RUNS_SQL, SENIORITY_SQL,
+    TECH_STACK_SQL, run_table,
 )
 from jobstrata.catalog.ingest import events_stream
 from jobstrata.functions import classify, text

@@ -8,7 +8,7 @@ from jobstrata.catalog.aggregates import DECISIONS_SQL, decisions
 from jobstrata.catalog.base import EVENTS_DAY, ORDERS_DAY, over_postings, postings, query, table
 from jobstrata.catalog.ingest import events_stream
 from jobstrata.catalog.relations import (
-    REPLY_FLOW_SQL, SILVER_PARTS, SILVER_SQL, DAILY_KEYS_SQL, replies, sent_log, silver,
+    REPLY_FLOW_SQL, SILVER_PARTS, SILVER_SQL, replies, sent_log, silver,
 )
 from jobstrata.catalog.rules import ALL_PARTS, GOLD_SQL, raw_postings
 from jobstrata.plans import feed, jobs, marts, medallion, views
@@ -125,7 +125,7 @@ def i07(spark, sf):
 )
 def i08(spark, sf):
     store = feed.FeedStore(spark, fresh_path(spark, "feed"))
-    store._write(sent_log(spark, sf), "sent", 1)
+    store.log_sent(sent_log(spark, sf), 1)
     store.record_replies(replies(spark, sf), 1)
     return store.responses().select("job_id", "decision", "responder", "title", "company", "url")
 

@@ -140,6 +140,9 @@ class FeedStore:
     def sent(self) -> DataFrame:
         return self._read("sent", schemas.SENT)
 
+    def log_sent(self, rows: DataFrame, cycle: int) -> None:
+        self._write(rows, "sent", cycle)
+
     def responses(self) -> DataFrame:
         return self._read("responses", schemas.RESPONSES).drop("cycle")
 
@@ -177,7 +180,7 @@ class FeedStore:
         feed = keep_first(pending(gold_all, sent, since, place, slack), ["job_id"], ["posted_time_ts", "url"])
         self._write(with_message(feed), "outbox", cycle)
         outbox = self.outbox(cycle)
-        self._write(sent_rows(outbox), "sent", cycle)
+        self.log_sent(sent_rows(outbox), cycle)
         newest = outbox.agg(F.max("posted_time_ts").alias("last_posted_time_ts"))
         self.set_mark(newest.filter("last_posted_time_ts IS NOT NULL"), cycle)
         return outbox

@@ -156,5 +156,5 @@ def read_bronze(spark: SparkSession, root: str, domain: str, stream: bool = Fals
     """Bronze rows of one domain: parsed fields, rescued data and lineage."""
     read = ingest_text_stream if stream else read_text_lines
     lines = read(spark, root, domain_glob(domain))
-    lined = with_lineage(filter_source_files(lines, domain))
+    lined = with_lineage(filter_source_files(lines, domain).filter(F.trim("value") != ""))
     return with_rescued(lined, schemas.RAW_POSTING).select(*schemas.BRONZE)

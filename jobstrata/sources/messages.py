@@ -82,7 +82,8 @@ def write_json_by_category(
 ) -> StreamingQuery:
     """One stream into ``category=/extract_date=`` folders.
 
-    Runs until the input is used up, or every ``every`` when that is given.
+    Runs until the input is used up, or on a timer when ``every`` is given (the message
+    stream runs every ``vocab.STREAM_TRIGGER``).
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (

@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
-from jobstrata import vocab
-
 
 def append_parquet(
     df: DataFrame, path: str, checkpoint: str, partitions: tuple[str, ...] = (), every: str | None = None
@@ -42,8 +40,3 @@ def each_batch(
 ) -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-
-
-def default_trigger() -> dict[str, str]:
-    """The timer of the message stream."""
-    return {"processingTime": vocab.STREAM_TRIGGER}

@@ -21,6 +21,7 @@ def test_bronze_reads_its_domain_and_rescues(spark, tmp_path):
         json.dumps(good | {"job_id": "b", "batch_id": "x", "posted_date": "2025-09-02"}),
         json.dumps(good | {"job_id": "c", "description_length": "long"}),
         "{broken",
+        "",
     ]
     write(tmp_path / "2025-09-02" / "data_engineer" / "Data_Engineer_20250902.JSONL", lines)
     write(tmp_path / "2025-09-02" / "data_analytics" / "data_analytics_20250902.jsonl", lines)

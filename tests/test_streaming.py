@@ -122,7 +122,7 @@ def test_timer_trigger_and_checkpoint(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.json").write_text('{"id": 1}')
     stream = spark.readStream.schema("id bigint").json(str(tmp_path / "in"))
-    query = append_parquet(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), every="30 seconds")
+    query = append_parquet(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), every="1 second")
     query.processAllAvailable()
     query.stop()
     assert spark.read.schema("id bigint").parquet(str(tmp_path / "out")).agg(F.sum("id")).first()[0] == 1
