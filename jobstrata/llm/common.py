@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,8 +51,8 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the strings of a column take about ``limit`` bytes; a longer row stays alone."""
     for batch in batches:
-        offsets = batch.column(column).cast(pa.large_string())
-        ends = pa.compute.cumulative_sum(pa.compute.fill_null(pa.compute.binary_length(offsets), 0)).to_numpy()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())
+        ends = pc.cumulative_sum(sizes).to_numpy()
         start, base = 0, 0
         while start < batch.num_rows:
             stop = max(start + 1, int(ends.searchsorted(base + limit, side="right")))

@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from jobstrata.llm import exact_dedup
-from jobstrata.llm.common import documents, table
+from jobstrata.llm import bpe, exact_dedup, packing
+from jobstrata.llm.common import documents
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary() -> str:
+    """The public vocabulary that the contracts name."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _digests(own: bpe.Encoder, ids: np.ndarray) -> tuple[int, str, str]:
+    numbers, text = hashlib.sha256(), hashlib.sha256()
+    for part in own.joined(ids, decoded=False):
+        numbers.update(part)
+    for part in own.joined(ids, decoded=True):
+        text.update(part)
+    return len(ids), numbers.hexdigest(), text.hexdigest()
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, types = ["n_tokens", "ids_sha256", "decoded_sha256"], ["long", "string", "string"]
+    return bpe.map_ids(documents(spark, sf_dir), vocabulary(), _digests, names, types)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary())
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_duplicates(documents(spark, sf_dir))
 
@@ -25,7 +52,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 
 
 def queries() -> dict[str, Run]:
-    return {"op10_exact_dedup": op10_exact_dedup}
+    return {
+        "op6_bpe": op6_bpe,
+        "op9_packing": op9_packing,
+        "op10_exact_dedup": op10_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
