@@ -8,7 +8,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from jobstrata.llm import bpe, exact_dedup, packing, simhash_dedup
+from jobstrata.llm import bpe, exact_dedup, fingerprints, packing, simhash_dedup
 from jobstrata.llm.common import documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(documents(spark, sf_dir), every=100)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     names, types = ["n_tokens", "ids_sha256", "decoded_sha256"], ["long", "string", "string"]
     return bpe.map_ids(documents(spark, sf_dir), vocabulary(), _digests, names, types)
@@ -58,6 +62,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 def queries() -> dict[str, Run]:
     return {
         "op2_simhash_dedup": op2_simhash_dedup,
+        "op3_fingerprints": op3_fingerprints,
         "op6_bpe": op6_bpe,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
