@@ -25,10 +25,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobstrata.llm.chars import FIRST_SPECIAL, LETTER, NUMBER, SPECIAL, classes, points_of
 from jobstrata.llm.common import slices, text_or_empty
 
 SHORT = 32
@@ -36,24 +36,8 @@ SEGMENT = 1 << 23
 _NONE = np.int32(2**31 - 1)
 _BLANK = re.compile(r"[ \t-\r]")
 
-# The white space of the pattern and the endings it splits off after an apostrophe.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+# The endings that the pattern splits off after an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-_LETTER, _NUMBER, _OTHER, _SPECIAL = 1, 2, 3, 4
-_FIRST_SPECIAL = 0xD800  # a lone surrogate cannot occur in a text
-
-
-@lru_cache(1)
-def _classes() -> np.ndarray:
-    """Class of every code point: white space 0, letters 1, numbers 2, others 3, stand-ins of special tokens 4."""
-    out = np.full(0x110000, _OTHER, np.uint8)
-    everything = "".join(map(chr, range(0x110000)))
-    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+")):
-        for found in regex.finditer(pattern, everything):
-            out[found.start() : found.end()] = kind
-    out[[ord(x) for x in WHITE]] = 0
-    out[_FIRST_SPECIAL:0xDC00] = _SPECIAL
-    return out
 
 
 def _byte_letters() -> list[str]:
@@ -199,7 +183,7 @@ class Encoder:
         stands = (sizes == 3) & (first == 0xED) & (second >= 0xA0)
         for row in np.flatnonzero(stands).tolist():
             code = ord(data[offsets[row] : offsets[row + 1]].tobytes().decode("utf-8", "surrogatepass"))
-            found.append((np.array([row]), np.array([[list(self.special.values())[code - _FIRST_SPECIAL]]], np.int32)))
+            found.append((np.array([row]), np.array([[list(self.special.values())[code - FIRST_SPECIAL]]], np.int32)))
         low = 0
         for width in (2, 4, 6, 8, 10, 12, 16, 24, SHORT):
             rows = np.flatnonzero((sizes > low) & (sizes <= width) & ~stands)
@@ -226,20 +210,20 @@ class Encoder:
         """Pieces of all words by the pattern: the word of each, and the pieces as bytes."""
         joined = "\n".join(words)
         for k, token in enumerate(self.special):
-            joined = joined.replace(token, chr(_FIRST_SPECIAL + k))
+            joined = joined.replace(token, chr(FIRST_SPECIAL + k))
         # Lower case letter by letter: a final sigma is not told from another one.
         joined = unicodedata.normalize("NFC", joined).replace("Σ", "σ").lower()
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        kinds = _classes()[points]
+        points = points_of(joined)
+        kinds = classes()[points]
         size = len(points)
         begins = np.ones(size, bool)
         begins[1:] = kinds[1:] != kinds[:-1]
-        begins |= (kinds == _NUMBER) | (kinds == _SPECIAL)
+        begins |= (kinds == NUMBER) | (kinds == SPECIAL)
         begins &= kinds != 0
         # An apostrophe alone in its run takes one of the endings with it.
         padded = np.concatenate([points, np.zeros(3, np.uint32)])
         marks = np.flatnonzero((points == ord("'")) & begins)
-        marks = marks[np.concatenate([kinds, [0]])[marks + 1] == _LETTER]
+        marks = marks[np.concatenate([kinds, [0]])[marks + 1] == LETTER]
         for ending in ENDINGS:
             fits = marks
             for k, letter in enumerate(ending):
@@ -247,7 +231,7 @@ class Encoder:
             begins[fits + 1] = False
             rest = fits + 1 + len(ending)
             rest = rest[rest < size]
-            begins[rest[kinds[rest] == _LETTER]] = True
+            begins[rest[kinds[rest] == LETTER]] = True
         starts = np.flatnonzero(begins)
         owner = np.searchsorted(np.flatnonzero(points == ord("\n")), starts)
         keep = kinds != 0

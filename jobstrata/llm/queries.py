@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobstrata.llm import bpe, exact_dedup, fingerprints, packing, simhash_dedup
-from jobstrata.llm.common import documents
+from jobstrata.llm import bpe, exact_dedup, fingerprints, language_id, packing, simhash_dedup
+from jobstrata.llm.common import crc_rest, documents
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,13 @@ def _digests(own: bpe.Encoder, ids: np.ndarray) -> tuple[int, str, str]:
     return len(ids), numbers.hexdigest(), text.hexdigest()
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(crc_rest("doc_id", 4) == 2, F.lit(False))
+    model = language_id.learn(docs.filter(~held_out))
+    return language_id.predict(docs, model, ["doc_id", held_out.alias("held_out")])
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(documents(spark, sf_dir))
 
@@ -61,6 +69,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 
 def queries() -> dict[str, Run]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_simhash_dedup": op2_simhash_dedup,
         "op3_fingerprints": op3_fingerprints,
         "op6_bpe": op6_bpe,
