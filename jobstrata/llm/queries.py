@@ -9,8 +9,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import bpe, exact_dedup, fingerprints, language_id, packing, simhash_dedup
-from jobstrata.llm.common import crc_rest, documents
+from jobstrata.llm import bpe, exact_dedup, fingerprints, language_id, packing, quality, simhash_dedup
+from jobstrata.llm.common import crc_rest, documents, table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(documents(spark, sf_dir), every=100)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_rest("doc_id", 5) == 0, F.lit(False))
+    return quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), held_out)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     names, types = ["n_tokens", "ids_sha256", "decoded_sha256"], ["long", "string", "string"]
     return bpe.map_ids(documents(spark, sf_dir), vocabulary(), _digests, names, types)
@@ -72,6 +77,7 @@ def queries() -> dict[str, Run]:
         "op1_language_id": op1_language_id,
         "op2_simhash_dedup": op2_simhash_dedup,
         "op3_fingerprints": op3_fingerprints,
+        "op4_quality": op4_quality,
         "op6_bpe": op6_bpe,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
