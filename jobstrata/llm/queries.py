@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import bpe, exact_dedup, fingerprints, language_id, packing, quality, simhash_dedup
+from jobstrata.llm import bpe, exact_dedup, fingerprints, language_id, packing, quality, simhash_dedup, url_filter
 from jobstrata.llm.common import crc_rest, documents, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,20 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"), held_out)
 
 
+# Fixed values of the contract.
+URL_RULES = [
+    url_filter.Rule("allow", "com/"),
+    url_filter.Rule("block", "example.com/en/"),
+    url_filter.Rule("allow", "www.example.com/en/"),
+    url_filter.Rule("block", "net/es/"),
+    url_filter.Rule("block", "net/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     names, types = ["n_tokens", "ids_sha256", "decoded_sha256"], ["long", "string", "string"]
     return bpe.map_ids(documents(spark, sf_dir), vocabulary(), _digests, names, types)
@@ -78,6 +92,7 @@ def queries() -> dict[str, Run]:
         "op2_simhash_dedup": op2_simhash_dedup,
         "op3_fingerprints": op3_fingerprints,
         "op4_quality": op4_quality,
+        "op5_url_filter": op5_url_filter,
         "op6_bpe": op6_bpe,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
