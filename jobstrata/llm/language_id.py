@@ -211,15 +211,17 @@ class _Scorer:
 
 def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFrame:
     """The ``keep`` columns of every row with lang_pred and score, in one pass of the scan."""
-    rows = docs.select(*keep, F.col("text").alias("_text"))
+    rows = docs.select(*keep)
+    text = "text" if "text" in rows.columns else "_text"
+    rows = rows if text == "text" else docs.select(*keep, F.col("text").alias(text))
     kept = [x for x in rows.columns if x != "_text"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
-        for part in slices(batches, "_text", SEGMENT):
+        for part in slices(batches, text, SEGMENT):
             if shared.value.languages and part.num_rows:
-                names, scores = scorer.predict(part.column("_text"))
+                names, scores = scorer.predict(part.column(text))
             else:
                 names, scores = [UNKNOWN] * part.num_rows, [0.0] * part.num_rows
             arrays = [*[part.column(x) for x in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
@@ -227,3 +229,12 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column]) -> DataFram
 
     fields = ", ".join(f"`{x}` {t}" for x, t in rows.dtypes if x != "_text")
     return rows.mapInArrow(run, f"{fields}, lang_pred string, score double")
+
+
+def accept(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """Rows whose language is known with a score of ``least`` or more. A model that has learned nothing rejects nothing."""
+    if not model.languages:
+        return docs
+    found = predict(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}), model, ["*"])
+    found = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
+    return found.withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"}).select(*docs.columns)

@@ -155,6 +155,20 @@ def learn(described: DataFrame, label: str = "label") -> Model:
     return Model(share, centre, spread, np.array(means), np.array(factors), np.array(log_dets))
 
 
+def accept(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows that score ``threshold`` or more, described and judged in one pass of the scan. A model of one class rejects nothing."""
+    if model.means is None:
+        return docs
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 1 << 23):
+            table = np.array([describe(x.as_py()) for x in part.column("text")]).reshape(-1, len(FEATURES))
+            yield part.filter(pa.array(model.score(table) >= threshold))
+
+    return docs.mapInArrow(run, schema)
+
+
 def with_labels(described: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of labelled documents with their label."""
     known = labels.select("doc_id", F.col("quality").cast("double").alias("quality")).dropna()

@@ -9,7 +9,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobstrata.llm import bpe, exact_dedup, fingerprints, language_id, packing, quality, simhash_dedup, url_filter
+from jobstrata.llm import (
+    bpe, exact_dedup, fingerprints, language_id, line_dedup, packing, quality, simhash_dedup, url_filter, warc,
+)
 from jobstrata.llm.common import crc_rest, documents, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +72,51 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.map_ids(documents(spark, sf_dir), vocabulary(), _digests, names, types)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a response record, and its two derived records with what links them."""
+    source = warc.responses(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z", ["page_id"])
+    rows = warc.derive(source, ["page_id"])
+    return rows.select(
+        "page_id", "warc_type", "record_id", "target_uri", "warc_date", "content_type",
+        F.col("headers")["WARC-Refers-To"].alias("refers_to"),
+        F.col("headers")["Source-Payload-Digest"].alias("source_payload_digest"),
+        F.col("headers")["WARC-Block-Digest"].alias("block_digest"),
+        F.length("block").cast("long").alias("block_bytes"),
+        F.decode("block", "UTF-8").alias("content"),
+    )
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicate(documents(spark, sf_dir))
+
+
+# The same rule on the tokens themselves, without hashes.
+OP8_SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line
+  FROM documents WHERE text IS NOT NULL),
+t AS (
+  SELECT doc_id, pos, line, list_filter(regexp_split_to_array(regexp_replace(line, '[^ 	-
+]*[0-9][^ 	-
+]*', '<*>', 'g'), '[ 	-
+]+'), lambda x: x <> '') AS t
+  FROM l),
+n AS (SELECT *, len(t) AS n, len(t) - 2 AS r FROM t WHERE len(t) >= 5),
+k AS (
+  SELECT doc_id, pos, -1 AS span, n, t AS key FROM n
+  UNION ALL
+  SELECT doc_id, pos, s AS span, n, list_concat(t[1:2 + (r * s) // 4], t[3 + (r * (s + 1)) // 4:n]) AS key
+  FROM n, (VALUES (0), (1), (2), (3)) v(s) WHERE n >= 8),
+f AS (SELECT span, n, key, min(doc_id) AS first FROM k GROUP BY ALL),
+gone AS (SELECT DISTINCT doc_id, pos FROM k JOIN f USING (span, n, key) WHERE k.doc_id > f.first),
+o AS (
+  SELECT l.doc_id, string_agg(CASE WHEN g.pos IS NULL THEN line END, chr(10) ORDER BY l.pos) AS text, count(*) AS n_lines, count(g.pos) AS n_dropped
+  FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(o.text, '') END AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped
+FROM documents d LEFT JOIN o USING (doc_id)
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary())
 
@@ -94,10 +141,12 @@ def queries() -> dict[str, Run]:
         "op4_quality": op4_quality,
         "op5_url_filter": op5_url_filter,
         "op6_bpe": op6_bpe,
+        "op7_warc": op7_warc,
+        "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op8_line_dedup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
