@@ -114,23 +114,24 @@ def compare_edited(docs: DataFrame, every: int, radius: int = RADIUS) -> DataFra
     """
     rows = _keyed(docs)
     prints = materialize(simhash(rows, KEYS), "fingerprints")
-    lengths = rows.select(*KEYS, F.length("text").alias("n")).groupBy(*KEYS).agg(F.max("n").alias("n"))
+    lengths = rows.select(*KEYS, F.length("text").alias("n")).groupBy(*KEYS).agg(F.max("n").alias("n"), F.count("*").alias("copies"))
     order = materialize(with_next(lengths, KEYS), "order")
 
-    # One shuffle brings each text to its key. There it is halved, and what the document before wants of it is cut off,
-    # which is the only text that moves a second time.
-    texts = rows.groupBy(*KEYS).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    # One shuffle brings each text to its key, and both uses of it read that shuffle. There it is halved, and what the
+    # document before wants of it is cut off, which is the only text that moves a second time.
+    texts = rows.groupBy(*KEYS).agg(F.first("text").alias("text"))
     half = F.floor(F.length("text") / 2).cast("int")
     staying = F.substring("text", F.lit(1), F.length("text") - half)
-    base = texts.select(*KEYS, "copies", F.length("text").cast("long").alias("n_chars"), staying.alias("staying"))
-    wanted = order.select(F.col("next.*"), F.struct(*KEYS).alias("by"), F.floor(F.col("n") / 2).cast("int").alias("wanted"))
+    base = texts.select(*KEYS, F.length("text").cast("long").alias("n_chars"), staying.alias("staying"))
+    wanted = F.floor(F.col("n") / 2).cast("int").alias("wanted")
+    wanted = order.select(F.col("next.*"), F.struct(*KEYS, "copies").alias("by"), wanted)
     heads = texts.join(wanted, KEYS).select("by.*", F.substring("text", F.lit(1), F.col("wanted")).alias("head"))
     edited = base.join(heads, KEYS).select(*KEYS, "copies", "n_chars", F.concat("staying", "head").alias("text"))
     kept = [*KEYS, "copies", "n_chars", "edited_sha256"]
     changed = simhash(edited.withColumn("edited_sha256", F.sha2("text", 256)), kept)
 
     own = prints.select(*KEYS, F.col("low").alias("own_low"), F.col("high").alias("own_high"))
-    after = prints.join(wanted, KEYS).select("by.*", F.col("low").alias("next_low"), F.col("high").alias("next_high"))
+    after = prints.join(wanted, KEYS).select(*[f"by.{x}" for x in KEYS], F.col("low").alias("next_low"), F.col("high").alias("next_high"))
     out = changed.join(own, KEYS).join(after, KEYS)
     is_asked = ~F.col("no_id") & (F.col("key_id") % every == 0)
     found = near_counts(prints, is_asked, radius).withColumn("asked", F.lit(True))
