@@ -17,43 +17,70 @@ line, an endless line is one line. Extra columns are kept.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobstrata.llm.common import materialize, slices
+
 LEADING = 2
 SPANS = 4
 GENERAL = 8
 SHORTEST = 5
-_VARIABLE = r"[^ \t-\r]*[0-9][^ \t-\r]*"
-
-
-def tokens(line: Column) -> Column:
-    """Tokens of a line, those with digits as the wildcard."""
-    masked = F.regexp_replace(line, _VARIABLE, "<*>")
-    return F.filter(F.split(masked, r"[ \t-\r]+"), lambda x: x != "")
+_DIGIT = re.compile(rb"[0-9]")
+_SEED = 42
+
+
+def line_keys(line: bytes) -> list[int]:
+    """Hashes of the templates that a line stands for, its own first; none for a line that is too short."""
+    tokens = line.split()
+    n = len(tokens)
+    if n < SHORTEST:
+        return []
+    if _DIGIT.search(line):
+        tokens = [b"<*>" if _DIGIT.search(x) else x for x in tokens]
+    starts = [(n - LEADING) * k // SPANS + LEADING for k in range(SPANS + 1)]
+    spans = [b" ".join(tokens[a:b]) for a, b in zip(starts, starts[1:])]
+    # No token holds a line feed, so it keeps the parts apart.
+    node = b"%d\n%b\n" % (n, b" ".join(tokens[:LEADING]))
+    texts = [node + b"-1\n" + b"\n".join(spans)]
+    if n >= GENERAL:
+        texts += [node + b"%d\n%b" % (k, b"\n".join(spans[:k] + spans[k + 1 :])) for k in range(SPANS)]
+    return [xxhash.xxh64_intdigest(x, _SEED) for x in texts]
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, line (its hash) and keys, one row per line that stands for a template."""
+    for part in slices(batches, "text", 1 << 22):
+        docs, lines, keys, ends = [], [], [], [0]
+        for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
+            for line in text.as_py().encode().split(b"\n"):
+                if found := line_keys(line):
+                    docs.append(doc)
+                    lines.append(xxhash.xxh64_intdigest(line, _SEED))
+                    keys += found
+                    ends.append(len(keys))
+        whole = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _longs(keys))
+        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), _longs(lines), whole], ["doc_id", "line", "keys"])
+
+
+def _longs(hashes: list[int]) -> pa.Array:
+    return pa.array(np.array(hashes, np.uint64).view(np.int64))
 
 
 def template_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, line (its hash) and key, one row per line and template it stands for."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    # One row per distinct line of a document and task would do, but most lines are distinct.
-    parts = lines.select("doc_id", F.xxhash64("line").alias("line"), tokens(F.col("line")).alias("t")).withColumn("n", F.size("t"))
-    parts = parts.filter(F.col("n") >= SHORTEST)
-    rest = F.col("n") - LEADING
-    starts = [F.floor(rest * k / SPANS).cast("int") + LEADING for k in range(SPANS + 1)]
-    spans = [F.xxhash64(F.array_join(F.slice("t", starts[k] + 1, starts[k + 1] - starts[k]), " ")) for k in range(SPANS)]
-    lead = F.xxhash64("n", F.array_join(F.slice("t", 1, LEADING), " "))
-    parts = parts.select("doc_id", "line", "n", lead.alias("lead"), *[x.alias(f"s{k}") for k, x in enumerate(spans)])
-    names = [f"s{k}" for k in range(SPANS)]
-    own = F.xxhash64("lead", F.lit(-1), *names)
-    wider = [F.xxhash64("lead", F.lit(k), *[x for x in names if x != f"s{k}"]) for k in range(SPANS)]
-    keys = F.when(F.col("n") >= GENERAL, F.array(own, *wider)).otherwise(F.array(own))
-    return parts.select("doc_id", "line", F.explode(keys).alias("key"))
+    """doc_id, line (its hash) and key, one row per line and template it stands for.
+
+    Lines are cut into templates once and written; both uses of the keys read what was written.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").dropna()
+    lines = materialize(rows.mapInArrow(_lines, "doc_id long, line long, keys array<long>"), "templates")
+    return lines.select("doc_id", "line", F.explode("keys").alias("key"))
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -78,7 +105,7 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 dropped.append(0)
                 continue
             lines, out = whole.split("\n"), set(gone.as_py())
-            kept = [x for x in lines if _signed(xxhash.xxh64_intdigest(x.encode(), 42)) not in out]
+            kept = [x for x in lines if _signed(xxhash.xxh64_intdigest(x.encode(), _SEED)) not in out]
             texts.append("\n".join(kept))
             sizes.append(len(lines))
             dropped.append(len(lines) - len(kept))
