@@ -432,7 +432,7 @@ def b29(spark, sf):
 def b30(spark, sf):
     key = (c("title"), c("company"), c("location"))
     return postings(spark, sf, "title", "place").select(
-        "doc_id", text.posting_id(*key).alias("short_id"), text.posting_id(*key, "k_", 32).alias("content_key")
+        "doc_id", text.posting_id(*key, digits=8).alias("short_id"), text.posting_id(*key, "k_", 32).alias("content_key")
     )
 
 

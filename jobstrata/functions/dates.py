@@ -70,8 +70,8 @@ def is_recent_listing(ts: Column, as_of: AsOf = None) -> Column:
 def relative_date(text: Column, as_of: AsOf = None) -> Column:
     """'3 days ago', 'há 2 semanas', '5 hours ago' to a date; anything else is ``as_of``.
 
-    The count is all digits of the text, one if there are none or it is zero. A count too
-    large for a calendar falls back to ``as_of`` as well.
+    The count is all digits of the text, one if there are none or it is zero. A date
+    before the first year cannot be computed and falls back to ``as_of`` as well.
     """
     today = as_date(as_of)
     lowered = F.lower(text)
@@ -81,15 +81,16 @@ def relative_date(text: Column, as_of: AsOf = None) -> Column:
     has = lambda *words: F.coalesce(
         F.contains(lowered, F.lit(words[0])) | F.contains(lowered, F.lit(words[1])), F.lit(False)
     )
-    days_back = F.when((count >= 1) & (count <= 700_000), count.try_cast("int"))
-    weeks_back = F.when((count >= 1) & (count <= 100_000), (count * 7).try_cast("int"))
+    days_back = count.try_cast("int")
+    weeks_back = F.try_multiply(count, F.lit(7).cast("bigint")).try_cast("int")
     back = (
         F.when(has("hour", "hora"), F.lit(0))
         .when(has("day", "dia"), days_back)
         .when(has("week", "semana"), weeks_back)
         .otherwise(F.lit(0))
     )
-    return F.date_sub(today, F.coalesce(back, F.lit(0)))
+    found = F.date_sub(today, back)
+    return F.when(found >= F.lit("0001-01-01").cast("date"), found).otherwise(today)
 
 
 def effective_time(posted: Column, ingested: Column) -> Column:

@@ -75,11 +75,11 @@ def payload_quality(description: Column) -> Column:
     return F.when(present(description), "high").otherwise("low")
 
 
-def posting_id(title: Column, company: Column, location: Column, prefix: str = "job_", digits: int = 8) -> Column:
+def posting_id(title: Column, company: Column, location: Column, prefix: str = "job_", digits: int = 32) -> Column:
     """Id that depends on content only, so one posting keeps its id on every run.
 
-    Eight hex digits are the readable form. They start to collide at some ten thousand
-    postings; key a dedup over more than that on ``digits=32``.
+    The whole digest is the key. Eight hex digits make a readable form for display only: they
+    start to collide at some ten thousand postings.
     """
     content = F.concat_ws("_", *[F.coalesce(c, F.lit("")) for c in (title, company, location)])
     return F.concat(F.lit(prefix), F.substring(F.md5(content), 1, digits))

@@ -57,7 +57,7 @@ def narrow_history(history: DataFrame, df: DataFrame, key: str) -> DataFrame:
     When the ids pass Spark's broadcast check the history is filtered as it is read and never
     shuffled; otherwise this is an ordinary semi join. Use it where ``df`` is a micro-batch.
     """
-    return history.select(key).join(distinct_ids(df, key), key, "left_semi")
+    return in_both(history.select(key), df.filter(usable(key)), [key])
 
 
 def layer_difference(upper: DataFrame, lower: DataFrame, key: str) -> DataFrame:

@@ -181,7 +181,9 @@ class FeedStore:
         self._write(with_message(feed), "outbox", cycle)
         outbox = self.outbox(cycle)
         self.log_sent(sent_rows(outbox), cycle)
-        newest = outbox.agg(F.max("posted_time_ts").alias("last_posted_time_ts"))
+        # A look-back may send old rows only; the mark never moves back by itself.
+        sent_now = outbox.select(F.col("posted_time_ts").alias("last_posted_time_ts"))
+        newest = sent_now.unionByName(self.state(before=cycle)).agg(F.max("last_posted_time_ts").alias("last_posted_time_ts"))
         self.set_mark(newest.filter("last_posted_time_ts IS NOT NULL"), cycle)
         return outbox
 

@@ -73,8 +73,13 @@ def layer_summary(layers: dict[str, DataFrame], key: str, days: dict[str, Column
 
 
 def exact_mean(c: Column) -> Column:
-    """Mean of money amounts, added up as decimals so the order of rows cannot matter."""
-    return F.try_divide(F.sum(c.cast("decimal(18,2)")).cast("double"), F.count(c).cast("double"))
+    """Mean of money amounts, added up as decimals so the order of rows cannot matter.
+
+    A group whose amounts or sum no decimal can hold gets the mean of doubles instead.
+    """
+    amount = c.try_cast("decimal(38,10)")
+    exact = F.when(F.count(amount) == F.count(c), F.try_sum(amount)).cast("double")
+    return F.coalesce(F.try_divide(exact, F.count(c).cast("double")), F.avg(c.cast("double")))
 
 
 def company_summary(df: DataFrame, company: str, key: str, low: str, high: str) -> DataFrame:

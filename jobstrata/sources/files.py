@@ -152,9 +152,21 @@ def append_jsonl(df: DataFrame, path: str, partitions: list[str]) -> None:
     df.write.mode("append").partitionBy(*partitions).json(path)
 
 
+def array_elements(df: DataFrame, value: str = "value") -> DataFrame:
+    """One row per element of a line that holds a JSON array; other lines, broken arrays among them, stay as they are."""
+    line = F.array(F.col(value))
+    elements = F.coalesce(F.from_json(F.col(value), "array<string>"), line)
+    is_array = F.startswith(F.ltrim(value), F.lit("["))
+    others = [c for c in df.columns if c != value]
+    return df.select(*others, F.explode(F.when(is_array, elements).otherwise(line)).alias(value)).filter(F.col(value).isNotNull())
+
+
 def read_bronze(spark: SparkSession, root: str, domain: str, stream: bool = False) -> DataFrame:
-    """Bronze rows of one domain: parsed fields, rescued data and lineage."""
+    """Bronze rows of one domain: parsed fields, rescued data and lineage.
+
+    A line holds one posting or an array of postings.
+    """
     read = ingest_text_stream if stream else read_text_lines
     lines = read(spark, root, domain_glob(domain))
     lined = with_lineage(filter_source_files(lines, domain).filter(F.trim("value") != ""))
-    return with_rescued(lined, schemas.RAW_POSTING).select(*schemas.BRONZE)
+    return with_rescued(array_elements(lined), schemas.RAW_POSTING).select(*schemas.BRONZE)

@@ -48,7 +48,9 @@ def run_domain(
     bronze = run(read_bronze(spark, source, domain, stream=True), "bronze")
     staged = medallion.silver_stg(bronze)
     if unique:
-        staged = drop_repeats(staged.filter(F.col("extract_ts").isNotNull()), ["job_id"], "extract_ts")
+        # Rows without an id or a time cannot be told to be repeats; they stay.
+        keyed = F.col("extract_ts").isNotNull() & F.col("job_id").isNotNull()
+        staged = drop_repeats(staged.filter(keyed), ["job_id"], "extract_ts").unionByName(staged.filter(~keyed))
     stg = run(staged, "silver_stg", quality.SILVER_STG_WARN)
     md = run(medallion.silver_md(stg), "silver_md", quality.SILVER_MD_WARN)
     gold = medallion.gold(md, as_of)

@@ -54,6 +54,7 @@ def test_late_row_is_found_with_a_look_back(spark, store):
     late = gold(spark, ("a", 10, "recife"), ("late", 30, "recife"))
     assert ids(store.poll(late, 2, AT)) == []
     assert ids(store.poll(late, 3, AT, slack="1 HOUR")) == ["late"]
+    assert store.state().first()[0] == NOW - dt.timedelta(minutes=10)
 
 
 def test_posting_in_two_domains_is_sent_once(spark, store):

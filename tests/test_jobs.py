@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from jobstrata import schemas
 from jobstrata.operators import quality
 from jobstrata.plans import jobs, medallion
+from jobstrata.plans.marts import exact_mean
 
 RAW = [
     ("1", " Senior Dev ", " ACME Ltda ", " Recife - PE ", "Python and SQL", "2025-09-02T08:00:00", "full-time", None),
@@ -102,3 +103,9 @@ def test_missing_fields_drop_the_row(spark, field, value):
 def test_refinement_is_one_stage(spark):
     plan = medallion.refine(bronze(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_exact_mean_of_small_and_huge_amounts(spark):
+    rows = [("cents", 0.005), ("cents", 0.015), ("huge", 1e30), ("huge", 3e30), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(exact_mean(F.col("v")).alias("m"))
+    assert {r.k: r.m for r in df.collect()} == {"cents": 0.01, "huge": 2e30, "none": None}

@@ -37,6 +37,19 @@ def test_bronze_reads_its_domain_and_rescues(spark, tmp_path):
     assert rows["a"].source_file.endswith("Data_Engineer_20250902.JSONL")
 
 
+def test_bronze_reads_arrays_of_one_line(spark, tmp_path):
+    good = {"job_id": "a", "title": "Dev", "description_length": 5, "has_salary": False}
+    more = [good, good | {"job_id": "b", "batch_id": "x"}, good | {"job_id": "c", "title": "[x], {y}"}]
+    folder = tmp_path / "2025-09-02" / "data_engineer"
+    write(folder / "data_engineer_1.json", ["  " + json.dumps(more)])
+    write(folder / "data_engineer_2.json", ["[]", json.dumps(good | {"job_id": "d"}), '[{"job_id": "e"'])
+    rows = {r.job_id: r for r in files.read_bronze(spark, str(tmp_path), "data_engineer").collect()}
+    assert set(rows) == {"a", "b", "c", "d", None}
+    assert rows["a"]._rescued_data is None and rows["a"].description_length == 5
+    assert rows["b"]._rescued_data == {"batch_id": "x"} and rows["c"].title == "[x], {y}"
+    assert rows[None]._rescued_data == {"_corrupt_record": '[{"job_id": "e"'}
+
+
 def test_raw_json_arrays_and_table(spark, tmp_path):
     write(tmp_path / "jobs.json", [json.dumps([{"a": 1}, {"a": 2}], indent=1)])
     assert files.read_raw_json(spark, str(tmp_path / "*.json"), multiline=True).count() == 2

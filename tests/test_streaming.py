@@ -61,6 +61,13 @@ def test_unique_staging(spark, tmp_path):
     assert sorted(r.job_id for r in run().collect()) == ["j1", "j2", "j3"]
 
 
+def test_unique_staging_keeps_rows_without_a_time_or_an_id(spark, tmp_path):
+    rows = [posting(1), posting(1), posting(2) | {"extract_timestamp": None}, posting(3) | {"extract_timestamp": "soon"}]
+    land(tmp_path / "landing", "2025-09-02", "data_engineer_a.jsonl", rows)
+    gold = layers.run_domain(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), "data_engineer", ORDERS_DAY, unique=True)
+    assert sorted(r.job_id for r in gold.collect()) == ["j1", "j2", "j3"]
+
+
 def dedup_run(spark, source, out, ckpt, salts):
     stream = spark.readStream.schema("key string, ts timestamp, id int").json(source)
     run_to_end(append_parquet(dedup.drop_repeats(stream, ["key"], "ts", "1 hour", salts), out, ckpt))
