@@ -94,7 +94,8 @@ def test_hot_key_is_split_by_adaptive_execution(spark, no_broadcast):
             (joins.attach_lookup(rows, lookup, ["key"], ["n"]), 60_000),
             (joins.attach_lookup(rows, lookup, ["key"], ["n"], "inner"), 60_000),
             (joins.in_both(rows, rows, ["key"]), 60_000),
-            (joins.narrow_history(rows, rows, "key"), 60_000),
+            # Copies of a key alone compress well: the hot one stands out where the others are few.
+            (joins.narrow_history(rows.filter("key = 'hot' OR id < 100"), rows, "key"), 20_066),
             (joins.not_in(rows, rows.filter("key != 'hot'"), ["key"]), 20_000),
         ):
             assert len(joined.collect()) == total
