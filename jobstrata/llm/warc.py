@@ -47,9 +47,14 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def plain_text(page: str) -> str:
-    """The text of an HTML page: a line per block element, white space collapsed, no scripts, styles or comments."""
-    text = _TAGS.sub("", _BLOCKS.sub("\n", _DROPPED.sub(" ", page)))
+def without_hidden(page: str) -> str:
+    """An HTML page without scripts, styles and comments."""
+    return _DROPPED.sub(" ", page)
+
+
+def plain_text(shown: str) -> str:
+    """The text of an HTML page that is already ``without_hidden``: a line per block element, white space collapsed."""
+    text = _TAGS.sub("", _BLOCKS.sub("\n", shown))
     lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
@@ -87,8 +92,8 @@ def derived(record_id: str, target: str, date: str, headers: dict[str, str], blo
     status, fields, body = split_http(block)
     content_type = next((v for k, v in fields if k.lower() == "content-type"), "")
     page = decode(body, content_type)
-    title, language = _TITLE.search(page), _LANGUAGE.search(page)
-    links = [html.unescape(a or b or c) for a, b, c in _LINK.findall(_DROPPED.sub(" ", page))]
+    title, language, shown = _TITLE.search(page), _LANGUAGE.search(page), without_hidden(page)
+    links = [html.unescape(a or b or c) for a, b, c in _LINK.findall(shown)]
     lines = [f"http-status: {status}"] if status else []
     lines += [f"http-header: {k}: {v}" for k, v in fields]
     lines += [f"title: {_one_line(html.unescape(title[1]))}"] if title else []
@@ -100,7 +105,7 @@ def derived(record_id: str, target: str, date: str, headers: dict[str, str], blo
     out = []
     for kind, mime, text in (
         ("metadata", "application/warc-fields", "".join(f"{x}\r\n" for x in lines)),
-        ("conversion", "text/plain; charset=utf-8", plain_text(page)),
+        ("conversion", "text/plain; charset=utf-8", plain_text(shown)),
     ):
         data = text.encode("utf-8", "replace")
         own = {"WARC-Type": kind, "WARC-Record-ID": _identifier(kind, record_id), "WARC-Block-Digest": digest(data), "Content-Type": mime, "Content-Length": str(len(data))}
