@@ -27,6 +27,7 @@ HEADLINE = [
     "d05_column_profile", "d06_top_values", "d16_layer_summary", "d19_chart_frames", "d20_salary_histogram",
     "d26_ingestion_metrics", "d29_duplicate_audit", "d31_monthly_trend", "e02_latest_per_key_day", "e03_first_seen",
     "e04_latest_per_id", "f03_newest_by_ingestion", "f07_cap_per_source", "g04_layer_difference", "k01_gold_all_view",
+    "d02_tech_counts", "j02_tech_explode", "i02_medallion_stream", "i06_notification_cycles", "i09_alert_stream", "k03_job_views",
 ]
 
 

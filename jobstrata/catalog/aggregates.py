@@ -240,14 +240,7 @@ def d20(spark, sf):
     over_postings("title", "posted", more=LEGACY_SQL, body="SELECT count(*) AS total, count(DISTINCT company) AS distinct_company, count(DISTINCT city) AS distinct_city, (SELECT count(DISTINCT skill) FROM (SELECT unnest(skills) AS skill FROM fact)) AS distinct_skill FROM fact"),
 )
 def d21(spark, sf):
-    ready = star.prepare(legacy_postings(spark, sf))
-    # Skills are counted per posting row, so one aggregate gives all figures.
-    skills = ready.select("company", "city", F.posexplode_outer("skills").alias("at", "skill"))
-    first = F.coalesce(c("at") == 0, F.lit(True))
-    return skills.agg(
-        F.count_if(first).alias("total"), F.count_distinct("company").alias("distinct_company"),
-        F.count_distinct("city").alias("distinct_city"), F.count_distinct("skill").alias("distinct_skill"),
-    )
+    return marts.summary(star.prepare(legacy_postings(spark, sf)), ["company", "city"], {"skill": "skills"})
 
 
 @query(
@@ -315,14 +308,17 @@ def d29(spark, sf):
 
 @query(
     "d30_threshold_check",
-    over_postings("title", "place", more="""r AS (SELECT count(*) AS t, greatest(count(*) - count(job_id), count(*) - count(title), count(*) - count(location)) / count(*) AS nulls,
-      (count(*) - count(DISTINCT coalesce(job_id, '#'))) / count(*) AS dups, count(*) FILTER (job_id IS NOT NULL AND title IS NOT NULL AND location IS NOT NULL) / count(*) AS complete FROM pv)""",
-      body="""SELECT 'bronze' AS layer, 'null_ratio' AS metric, nulls AS value, 0.05::double AS threshold, nulls <= 0.05 AS ok FROM r UNION ALL SELECT 'bronze', 'duplicate_ratio', dups, 0.1::double, dups <= 0.1 FROM r
-      UNION ALL SELECT 'silver', 'null_ratio', nulls, 0.02::double, nulls <= 0.02 FROM r UNION ALL SELECT 'silver', 'completeness', complete, 0.95::double, complete >= 0.95 FROM r"""),
+    over_postings("title", "place", more="""b AS (SELECT greatest(count(*) - count(job_id), count(*) - count(title), count(*) - count(location)) / count(*) AS nulls,
+      (count(*) - count(DISTINCT coalesce(job_id, '#'))) / count(*) AS dups, count(*) FILTER (job_id IS NOT NULL AND title IS NOT NULL AND location IS NOT NULL) / count(*) AS complete FROM pv WHERE true),
+      s AS (SELECT greatest(count(*) - count(job_id), count(*) - count(title), count(*) - count(location)) / count(*) AS nulls,
+      (count(*) - count(DISTINCT coalesce(job_id, '#'))) / count(*) AS dups, count(*) FILTER (job_id IS NOT NULL AND title IS NOT NULL AND location IS NOT NULL) / count(*) AS complete FROM pv WHERE job_id <> '' AND title <> '')""",
+      body="""SELECT 'bronze' AS layer, 'null_ratio' AS metric, nulls AS value, 0.05::double AS threshold, nulls <= 0.05 AS ok FROM b UNION ALL SELECT 'bronze', 'duplicate_ratio', dups, 0.1::double, dups <= 0.1 FROM b
+      UNION ALL SELECT 'silver', 'null_ratio', nulls, 0.02::double, nulls <= 0.02 FROM s UNION ALL SELECT 'silver', 'completeness', complete, 0.95::double, complete >= 0.95 FROM s"""),
 )
 def d30(spark, sf):
-    ratios = quality.layer_ratios(postings(spark, sf, "title", "place"), ["job_id"], ["job_id", "title", "location"])
-    return quality.threshold_check(ratios, "bronze", "silver")
+    bronze = postings(spark, sf, "title", "place")
+    layers = {"bronze": bronze, "silver": quality.keep_valid(bronze, quality.SILVER_MD_DROP)}
+    return quality.threshold_check({name: quality.layer_ratios(df, ["job_id"], ["job_id", "title", "location"]) for name, df in layers.items()})
 
 
 @query(

@@ -231,9 +231,9 @@ def e06(spark, sf):
     return state.compact(fresh_path(spark, "state")).read().select("user_id", "event_id", "event_type")
 
 
-@query("f01_ordered_feed", "SELECT o_orderkey, o_orderdate AS posted_time_ts FROM orders WHERE o_orderdate > TIMESTAMP '2001-07-01'")
+@query("f01_ordered_feed", "SELECT o_orderkey, o_orderdate AS posted_time_ts FROM orders")
 def f01(spark, sf):
-    rows = table(spark, sf, "orders").filter(c("o_orderdate") > "2001-07-01").select(
+    rows = table(spark, sf, "orders").select(
         "o_orderkey", c("o_orderdate").alias("posted_time_ts"), c("o_orderkey").alias("job_id")
     )
     return feed.ordered(rows).drop("job_id")

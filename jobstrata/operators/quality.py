@@ -291,8 +291,15 @@ def layer_ratios(df: DataFrame, key: list[str], required: list[str]) -> DataFram
     )
 
 
-def threshold_check(ratios: DataFrame, *layers: str) -> DataFrame:
-    """One row per threshold of each layer: metric, value, limit and whether it holds."""
+def threshold_check(ratios: dict[str, DataFrame]) -> DataFrame:
+    """One row per threshold of each layer: metric, value, limit and whether it holds.
+
+    ``ratios`` has the ratio row of each layer.
+    """
+    return reduce(DataFrame.unionByName, [_layer_thresholds(row, layer) for layer, row in ratios.items()])
+
+
+def _layer_thresholds(ratios: DataFrame, layer: str) -> DataFrame:
     # Which metric a threshold bounds, and from which side.
     sides = {
         "max_null_ratio": ("null_ratio", True),
@@ -300,8 +307,7 @@ def threshold_check(ratios: DataFrame, *layers: str) -> DataFrame:
         "min_completeness": ("completeness", False),
     }
     rows = []
-    limits = [(layer, name, limit) for layer in layers for name, limit in vocab.LAYER_THRESHOLDS[layer].items()]
-    for layer, name, limit in limits:
+    for name, limit in vocab.LAYER_THRESHOLDS[layer].items():
         metric, upper = sides[name]
         value = F.col(metric)
         rows.append(

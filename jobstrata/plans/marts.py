@@ -151,10 +151,19 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:
     )
 
 
-def summary(df: DataFrame, distinct: list[str]) -> DataFrame:
-    return df.agg(
-        F.count("*").alias("total"), *[F.count_distinct(c).alias(f"distinct_{c}") for c in distinct]
-    )
+def summary(df: DataFrame, distinct: list[str], elements: dict[str, str] | None = None) -> DataFrame:
+    """Rows and distinct values of columns, and of the elements of at most one array column (``name: column``).
+
+    A row is unfolded into the elements of its array and counted at its first, so one aggregate gives all figures.
+    """
+    named = elements or {}
+    if len(named) > 1:
+        raise ValueError("one array column at most")
+    total = F.count("*")
+    for name, column in named.items():
+        df = df.select(*distinct, F.posexplode_outer(column).alias("_at", name))
+        total = F.count_if(F.coalesce(F.col("_at") == 0, F.lit(True)))
+    return df.agg(total.alias("total"), *[F.count_distinct(c).alias(f"distinct_{c}") for c in [*distinct, *named]])
 
 
 def extraction_summary(df: DataFrame, by: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jobstrata.functions import classify, location, salary
 from jobstrata.plans.jobs import skills_bridge
 from jobstrata.plans.marts import company_summary
+from jobstrata.session import materialize
 from jobstrata.sources.tables import snapshot_path
 
 
@@ -37,7 +38,10 @@ def prepare(df: DataFrame) -> DataFrame:
 
 
 def star_tables(df: DataFrame) -> dict[str, DataFrame]:
-    ready = prepare(df)
+    return _tables(prepare(df))
+
+
+def _tables(ready: DataFrame) -> dict[str, DataFrame]:
     fact = ready.select(
         "id", "title", "company", "city", "state", "posted_date", "description", "salary_range",
         "salary_min", "salary_max", "level", "main_technology",
@@ -50,6 +54,6 @@ def star_tables(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_star(df: DataFrame, root: str, version: str) -> None:
-    """Write the three tables under a snapshot folder each."""
-    for name, table in star_tables(df).items():
+    """Write the three tables under a snapshot folder each; the source is read and prepared once."""
+    for name, table in _tables(materialize(prepare(df), "star")).items():
         table.write.parquet(snapshot_path(f"{root}/{name}", version))

@@ -39,10 +39,14 @@ def run_domain(
         """Bring one layer up to date and return it as a stream for the next."""
         watched = quality.watch(df, rules, layer) if rules else df
         days = ("extract_date",) if layer in BY_DAY else ()
-        query = append_parquet(watched, f"{base}/{layer}", f"{base}/_checkpoints/{layer}", days)
-        run_to_end(query)
-        if report is not None:
-            report.update(observed_totals(query))
+        start = lambda: append_parquet(watched, f"{base}/{layer}", f"{base}/_checkpoints/{layer}", days)
+        if report is None:
+            run_to_end(start())
+        else:
+            with observed_totals(spark) as totals:
+                query = start()
+                run_to_end(query)
+                report.update(totals.of(query))
         return read_layer_stream(spark, f"{base}/{layer}", df)
 
     bronze = run(read_bronze(spark, source, domain, stream=True), "bronze")

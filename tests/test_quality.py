@@ -58,7 +58,7 @@ def test_top_values_share_one_shuffle(spark):
 
 def test_thresholds(rows):
     ratios = quality.layer_ratios(rows, ["job_id"], ["job_id", "title"])
-    got = {(r.layer, r.metric): (round(r.value, 2), r.ok) for r in quality.threshold_check(ratios, "bronze", "silver").collect()}
+    got = {(r.layer, r.metric): (round(r.value, 2), r.ok) for r in quality.threshold_check({"bronze": ratios, "silver": ratios}).collect()}
     assert got == {
         ("bronze", "null_ratio"): (0.2, False), ("bronze", "duplicate_ratio"): (0.2, False),
         ("silver", "null_ratio"): (0.2, False), ("silver", "completeness"): (0.6, False),

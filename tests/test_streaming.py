@@ -9,7 +9,7 @@ from jobstrata.plans import medallion
 from jobstrata.sources.files import read_bronze
 from jobstrata.streaming import alerts, dedup, layers
 from jobstrata.streaming.current import CurrentState
-from jobstrata.streaming.runs import append_parquet, each_batch, run_to_end
+from jobstrata.streaming.runs import append_parquet, each_batch, observed_totals, run_to_end
 
 FIELDS = [f for f in medallion.schemas.GOLD if f != "ingestion_timestamp"]
 
@@ -134,3 +134,20 @@ def test_timer_trigger_and_checkpoint(spark, tmp_path):
     query.stop()
     assert spark.read.schema("id bigint").parquet(str(tmp_path / "out")).agg(F.sum("id")).first()[0] == 1
     assert (tmp_path / "ckpt" / "offsets").exists()
+
+
+def test_totals_count_batches_that_the_query_no_longer_remembers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(5):
+        (tmp_path / "in" / f"{n}.json").write_text(f'{{"id": {n}}}')
+    stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    seen = stream.observe("rows", F.count("*").alias("total"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        with observed_totals(spark) as totals:
+            query = append_parquet(seen, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+            run_to_end(query)
+            assert totals.of(query) == {"rows": {"total": 5}}
+        assert len(query.recentProgress) < 5
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
