@@ -10,6 +10,13 @@ A template that documents share recurs. It stays in the first document that has
 dropped from all later ones, so no content is lost altogether. Lines of fewer than ``SHORTEST`` words are no
 templates and stay. Repeats inside one document are not touched.
 
+Lines that share a long run of words but differ otherwise are no template together. ``clean``, and so the pipeline, takes
+such passages out as well, from what the templates leave: of the windows of ``WINDOW`` words of a document, line ends
+counting as blanks, it keys the ones of least hash among ``WINDOW`` neighbours. Content alone chooses them, so an insertion
+shifts none, and every run of ``2 * WINDOW - 1`` words or more has one. A keyed window stays in the first document that
+has it; its words go from all later ones, of a long run all but at most ``WINDOW - 1`` at either end. ``deduplicate``
+has the templates alone, as its SQL.
+
 Documents are never dropped; one whose lines all recur has an empty text. Null texts stay null. Rows without a doc_id are
 left as they are and do not count. Rows that share a doc_id count as one document. Texts of any length are handled line by
 line, an endless line is one line. Extra columns are kept.
@@ -32,8 +39,11 @@ LEADING = 2
 SPANS = 4
 GENERAL = 8
 SHORTEST = 5
+WINDOW = 25
 _DIGIT = re.compile(rb"[0-9]")
 _SEED = 42
+_WORD = re.compile(rb"\S+")
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def line_keys(line: bytes) -> list[int]:
@@ -83,13 +93,17 @@ def template_keys(docs: DataFrame) -> DataFrame:
     return lines.select("doc_id", "line", F.explode("keys").alias("key"))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
-    """doc_id and the array ``_gone`` of hashes of its lines whose template an earlier document has."""
-    keyed = template_keys(docs)
-    # A key of its own for the join (see operators.joins): the rows of a hot template stay splittable.
+def _met(keyed: DataFrame) -> DataFrame:
+    """The rows whose key an earlier document has."""
+    # A key of its own for the join (see operators.joins): the rows of a hot key stay splittable.
     first = keyed.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     first = first.withColumn("salt", F.xxhash64("key")).select("key", "salt", "first")
-    met = keyed.withColumn("salt", F.xxhash64("key")).join(first, ["key", "salt"]).filter("doc_id > first")
+    return keyed.withColumn("salt", F.xxhash64("key")).join(first, ["key", "salt"]).filter("doc_id > first")
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """doc_id and the array ``_gone`` of hashes of its lines whose template an earlier document has."""
+    met = _met(template_keys(docs))
     return met.select("doc_id", "line").distinct().groupBy("doc_id").agg(F.collect_list("line").alias("_gone"))
 
 
@@ -131,9 +145,71 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     return _stripped(docs, []).withColumnsRenamed({"_n_lines": "n_lines", "_n_dropped": "n_dropped"})
 
 
+def windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the keyed windows; none for fewer words than the shortest run that surely has one."""
+    size = len(words) - WINDOW + 1
+    if size < WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    hashes, out = np.array([xxhash.xxh64_intdigest(x, _SEED) for x in words], np.uint64), np.zeros(size, np.uint64)
+    for k in range(WINDOW):
+        out = (out + hashes[k : k + size]) * _STEP
+        out ^= out >> np.uint64(29)
+    least = np.lib.stride_tricks.sliding_window_view(out, WINDOW).argmin(1)
+    starts = np.unique(least + np.arange(len(least)))
+    return starts, out[starts]
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id and key, one row per distinct keyed window of a row."""
+    for part in slices(batches, "text", 1 << 22):
+        docs, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
+            keys.append(np.unique(windows(text.as_py().encode().split())[1]))
+            docs.append(np.full(len(keys[-1]), doc, np.int64))
+        arrays = [pa.array(np.concatenate(docs)), pa.array(np.concatenate(keys).view(np.int64))]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key"])
+
+
+def without_windows(text: str, gone: set[int]) -> str:
+    """Text without the words of the keyed windows in ``gone``; a line end stays where lines were cut."""
+    raw = text.encode()
+    places = [x.span() for x in _WORD.finditer(raw)]
+    starts, keys = windows([raw[a:b] for a, b in places])
+    cut = np.zeros(len(places) + 2, np.int8)
+    for start, key in zip(starts.tolist(), keys.view(np.int64).tolist()):
+        if key in gone:
+            cut[start + 1 : start + 1 + WINDOW] = 1
+    edges = np.flatnonzero(np.diff(cut)).tolist()
+    out, at = [], 0
+    for first, after in zip(edges[::2], edges[1::2]):
+        stop = places[after][0] if after < len(places) else places[-1][1]
+        out += [raw[at : places[first][0]], b"\n" if b"\n" in raw[places[first][0] : stop] else b""]
+        at = stop
+    return b"".join([*out, raw[at:]]).decode()
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for text, gone in zip(batch.column("text"), batch.column("_gone")):
+            texts.append(without_windows(text.as_py(), set(gone.as_py())) if text.is_valid and gone.is_valid else text.as_py())
+        others = [x for x in batch.schema.names if x not in ("text", "_gone")]
+        yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in others], pa.array(texts, pa.string())], [*others, "text"])
+
+
+def without_passages(docs: DataFrame) -> DataFrame:
+    """Every row with its columns, ``doc_id`` as a long; its text lacks the keyed windows that an earlier document has."""
+    rows = docs.select("doc_id", "text").dropna()
+    keyed = materialize(rows.mapInArrow(_windows, "doc_id long, key long"), "windows")
+    met = _met(keyed).select("doc_id", "key").distinct().groupBy("doc_id").agg(F.collect_list("key").alias("_gone"))
+    marked = docs.join(met, "doc_id", "left")
+    fields = ", ".join(f"`{x}` {t}" for x, t in marked.dtypes if x not in ("text", "_gone"))
+    return marked.mapInArrow(_cut, f"{fields}, text string")
+
+
 def clean(docs: DataFrame) -> DataFrame:
-    """Every row with all its columns and the remaining text; n_chars, if there is one, is counted anew."""
-    found = _stripped(docs, docs.columns)
+    """Every row with all its columns and the text without repeated lines and passages; n_chars, if there is one, is counted anew."""
+    found = without_passages(materialize(_stripped(docs, docs.columns).drop("_n_lines", "_n_dropped"), "stripped"))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)
