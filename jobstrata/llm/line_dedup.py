@@ -3,11 +3,13 @@
 A line becomes tokens at white space; a token with a digit is a variable field. The tree leads from the number of tokens
 over the first ``LEADING`` tokens to a leaf. Within a leaf, a line stands for the template of its own tokens and, from
 ``GENERAL`` tokens on, for ``SPANS`` more in which one of as many equal spans of the other positions is a variable field as
-well. Two lines thus share a template if they agree but for digits and one span, and no line is compared with
+well. Fields are no evidence of a repeat: a template needs ``CONSTANT`` constant tokens, one with a free span ``EVIDENCE``,
+and in both at least half of the tokens must be constant. A line with too few, such as a row of numbers, stands for
+itself, digits included. Two lines thus share a template if they agree but for digits and one span, and no line is compared with
 another: templates are counted by key, with partial results per task, however many lines a leaf has.
 
 A template that documents share recurs. It stays in the first document that has it, by ``doc_id``, and its lines are
-dropped from all later ones, so no content is lost altogether. Lines of fewer than ``SHORTEST`` words are no
+dropped from all later ones; what they had in the variable fields, digits and the free span, goes with them. Lines of fewer than ``SHORTEST`` words are no
 templates and stay. Repeats inside one document are not touched.
 
 Lines that share a long run of words but differ otherwise are no template together. ``clean``, and so the pipeline, takes
@@ -39,6 +41,8 @@ LEADING = 2
 SPANS = 4
 GENERAL = 8
 SHORTEST = 5
+CONSTANT = 4
+EVIDENCE = 8
 WINDOW = 25
 _DIGIT = re.compile(rb"[0-9]")
 _SEED = 42
@@ -52,18 +56,27 @@ def line_keys(line: bytes) -> list[int]:
     n = len(tokens)
     if n < SHORTEST:
         return []
+    fixed = [1] * n
     if _DIGIT.search(line):
-        tokens = [b"<*>" if _DIGIT.search(x) else x for x in tokens]
+        fixed = [0 if _DIGIT.search(x) else 1 for x in tokens]
+        if _evident(sum(fixed), n, CONSTANT):
+            tokens = [x if own else b"<*>" for x, own in zip(tokens, fixed)]
     starts = [(n - LEADING) * k // SPANS + LEADING for k in range(SPANS + 1)]
     spans = [b" ".join(tokens[a:b]) for a, b in zip(starts, starts[1:])]
     # No token holds a line feed, so it keeps the parts apart.
     node = b"%d\n%b\n" % (n, b" ".join(tokens[:LEADING]))
     texts = [node + b"-1\n" + b"\n".join(spans)]
     if n >= GENERAL:
-        texts += [node + b"%d\n%b" % (k, b"\n".join(spans[:k] + spans[k + 1 :])) for k in range(SPANS)]
+        for k, (a, b) in enumerate(zip(starts, starts[1:])):
+            if _evident(sum(fixed) - sum(fixed[a:b]), n - (b - a), EVIDENCE):
+                texts.append(node + b"%d\n%b" % (k, b"\n".join(spans[:k] + spans[k + 1 :])))
     return [xxhash.xxh64_intdigest(x, _SEED) for x in texts]
 
 
+def _evident(constant: int, tokens: int, least: int) -> bool:
+    return constant >= least and 2 * constant >= tokens
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, line (its hash) and keys, one row per line that stands for a template."""
     for part in slices(batches, "text", 1 << 22):

@@ -58,3 +58,26 @@ def test_cut_keeps_line_ends():
     left = line_dedup.without_windows(text, set(keys))
     assert left.startswith("a b\n") and left.endswith(" c\nd") and len(left.split()) == 53 - 25
     assert line_dedup.without_windows(text, set()) == text
+
+
+def dropped(spark, texts):
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "doc_id long, text string")
+    return {r["doc_id"]: r["n_dropped"] for r in line_dedup.deduplicate(docs).collect()}
+
+
+def test_lines_that_do_not_repeat_stay(spark):
+    """Rows of numbers, and short sentences that differ in a word or two, are no repeats."""
+    texts = [
+        "1 2 3 4 5\n2024-01-01 10 20 30 total 7 8 9\nwe will paint the old house in May",
+        "9 8 7 6 5\n2024-01-02 11 21 31 total 5 6 7\nwe will paint the old bridge in May",
+        "EUR 1 2 3 4 5 6 7 8 9\nsold in 3 6 9 12 15 18 21 24 27 30 33",
+        "EUR 9 8 7 6 5 4 3 2 1\nsold in 1 4 7 10 13 16 19 22 25 28 31",
+    ]
+    assert dropped(spark, texts) == dict.fromkeys(range(4), 0)
+
+
+def test_lines_that_repeat_go(spark):
+    """Equal rows of numbers, and long lines that differ in digits or in one span."""
+    long = "our team builds the data platform that every other team of the company relies on"
+    texts = ["1 2 3 4 5\nposted 3 days ago by Acme\n" + long, "1 2 3 4 5\nposted 17 days ago by Acme\n" + long.replace("every other", "each other")]
+    assert dropped(spark, texts) == {0: 0, 1: 3}
