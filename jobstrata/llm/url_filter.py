@@ -6,7 +6,7 @@ The host is what stands behind the first ``://`` up to ``/``, ``?``, ``#`` or th
 URLs that a rule decides are the labelled ones. Their lexical features and the share of blocked ones per suffix (the last
 part of the host, smoothed) train ``TREES`` trees of depth ``DEPTH`` on the logistic loss, both verdicts weighing the same,
 as the rules say nothing about how frequent either is elsewhere. Training takes about ``SAMPLE``
-labelled URLs, chosen by a hash, all if there are fewer. Features are cut into at most ``BINS`` bins; each level of a tree
+labelled URLs, chosen by a hash, all if there are fewer. Features are cut at ``BINS`` quantiles of either verdict and the extremes, those of few values at each value; each level of a tree
 is one aggregate of gradients per node, feature and bin over the sample, and only those sums reach the driver. The trees
 become a CASE expression that runs inside the scan of all URLs.
 
@@ -206,9 +206,15 @@ def train(labelled: DataFrame, size: int, blocked: int, sample_rows: int = SAMPL
     weight = F.when(blocks, 0.5 * size / blocked).otherwise(0.5 * size / (size - blocked))
     sample = labelled.filter(draw < min(1.0, sample_rows / size)).select(*FEATURES, blocks.cast("double").alias("_y"), weight.alias("_w"))
     sample = materialize(sample, "labelled")
-    found = sample.agg(*[F.percentile_approx(x, [k / BINS for k in range(1, BINS)], 10_000).alias(x) for x in FEATURES]).first()
+    # Cuts come from each verdict by itself, so the rarer one is seen however rare it is, and so do the extremes.
+    cuts = [k / BINS for k in range(BINS + 1)]
+    found = sample.groupBy("_y").agg(*[F.percentile_approx(x, cuts, 10_000).alias(x) for x in FEATURES]).collect()
+    # Of a feature with few values all count, also one that is rare in either verdict.
+    few = sample.agg(*[F.approx_count_distinct(x).alias(x) for x in FEATURES]).first()
+    few = [x for x in FEATURES if few[x] <= 2 * BINS]
+    every = sample.agg(*[F.collect_set(x).alias(x) for x in few]).first() if few else {}
     # Edges lie between values, so a value that the sample lacks goes to the nearer side.
-    values = {x: sorted(set(found[x] or [])) for x in FEATURES}
+    values = {x: sorted(set(every[x]) if x in few else {v for row in found for v in row[x] or []}) for x in FEATURES}
     edges = {x: [(a + b) / 2 for a, b in zip(v, v[1:])] for x, v in values.items()}
     binned = sample.withColumns(
         {f"_bin_{x}": sum((F.when(F.col(x) > F.lit(e), 1).otherwise(0) for e in edges[x]), F.lit(0)).cast("int") for x in FEATURES}
