@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.llm import (
-    bpe, exact_dedup, fingerprints, language_id, line_dedup, packing, quality, simhash_dedup, url_filter, warc,
+    alignment, bpe, exact_dedup, fingerprints, language_id, line_dedup, merkle, packing, quality, simhash_dedup, url_filter, warc,
 )
 from jobstrata.llm.common import crc_rest, documents, table
 
@@ -133,6 +133,63 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.compare(documents(spark, sf_dir), a, b)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(documents(spark, sf_dir), merkle.third_of_ids())
+
+
+# Trees level by level; crc32 bit by bit, as there is no function for it.
+OP13_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT *, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda y, i: xor(y >> 1, 3988292384::BIGINT * (y & 1)))) AS crc
+  FROM documents),
+v AS (
+  SELECT doc_id, lang, coalesce(xor(crc, 4294967295) % 3 = 0, false) AS hit, text,
+    coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM d),
+l AS (
+  SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    CASE WHEN hit THEN sha256(head || coalesce(octet_length(encode(text)) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS altered
+  FROM v),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+t AS (
+  SELECT 0 AS level, lang, pos, leaf AS node, count(*) OVER (PARTITION BY lang) AS n FROM r
+  UNION ALL
+  SELECT level + 1, lang, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 7) // 8 FROM t WHERE n > 1 GROUP BY level, lang, pos // 8),
+s AS (SELECT lang, level AS height, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS level, place AS pos, subroot AS node, n FROM s
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 7) // 8 FROM u WHERE n > 1 GROUP BY level, pos // 8),
+nodes AS (
+  SELECT lang, level, pos // 8 AS run, pos % 8 AS digit, node FROM t WHERE n > 1
+  UNION ALL
+  SELECT s.lang, s.height + u.level, u.pos // 8, u.pos % 8, u.node FROM s JOIN u ON u.n > 1),
+runs AS (SELECT lang, level, run, list(node ORDER BY digit) AS sib FROM nodes GROUP BY lang, level, run),
+f AS (
+  SELECT doc_id, r.lang, leaf, coalesce(altered, leaf) AS node, 0 AS level, pos, '' AS proof FROM r
+  UNION ALL
+  SELECT doc_id, f.lang, leaf,
+    sha256(array_to_string(list_concat(list_slice(sib, 1, own), [f.node], list_slice(sib, own + 2, 8)), '')), f.level + 1, up,
+    proof || array_to_string(list_concat(list_slice(sib, 1, own), list_slice(sib, own + 2, 8)), '')
+  FROM (
+    SELECT f.*, s.height, s.place, CASE WHEN f.level = s.height THEN s.place ELSE f.pos END AS here, here % 8 AS own, here // 8 AS up
+    FROM f JOIN s ON f.lang IS NOT DISTINCT FROM s.lang) f
+  JOIN runs ON f.lang IS NOT DISTINCT FROM runs.lang AND f.level = runs.level AND f.here // 8 = runs.run)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM f JOIN s ON f.lang IS NOT DISTINCT FROM s.lang, (SELECT node AS root, level AS top FROM u WHERE n = 1)
+WHERE f.level = s.height + top
+"""
+
+
 def queries() -> dict[str, Run]:
     return {
         "op1_language_id": op1_language_id,
@@ -145,8 +202,10 @@ def queries() -> dict[str, Run]:
         "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
+        "op12_token_alignment": op12_token_alignment,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op8_line_dedup": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op13_merkle_manifest": OP13_SQL}
