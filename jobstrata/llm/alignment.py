@@ -5,14 +5,15 @@ of the other side that overlaps it and reaches farthest right, or to itself if n
 the one of A is the end. Doubling the pointers, all tokens of a batch at once, takes every token to the last one of its
 component. Components are the groups of tokens between byte offsets where both sides end.
 
-Token pairs that overlap are links. Texts are taken in blocks of about ``BLOCK`` bytes. A block counts how many of its
-documents hold each pair, once for each pair, and only these counts are shuffled and added up over the corpus. The totals of
-a block's pairs then come back to it in one list, bounded by the block, and are read off for every link. Pairs that occur
-everywhere cost one short row per block; the highest count per A id is a table of at most one row per id of A.
+Both sides begin a token at every lone blank, so texts are cut there into units, and each distinct unit of a batch is encoded
+and aligned once. Token pairs that overlap are links. Texts are taken in blocks of about ``BLOCK`` bytes. A block counts how
+many of its documents hold each pair, and only these counts are shuffled and added up over the corpus. The totals of a
+block's pairs then come back to it in one list, bounded by the block, and are summed per unit and per document. Pairs that
+occur everywhere cost one short row per block; the highest count per A id is a table of at most one row per id of A.
 
 Null and empty texts have no tokens, nor have texts whose joined token bytes differ from a blank and the text (such as those
-that hold the character B writes for a blank). Strings of special tokens are plain text. A text of any length is encoded in
-parts that begin at a lone blank, where neither side has a token across. Repeated rows count each on their own. An empty
+that hold the character B writes for a blank). Strings of special tokens are plain text. A text of any length is a block by
+itself at most, and what is kept of it are the numbers of its units. Repeated rows count each on their own. An empty
 table gives an empty result. Other columns are ignored.
 """
 
@@ -23,9 +24,11 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,16 +38,15 @@ from jobstrata.llm.bpe import _byte_letters, _ragged
 from jobstrata.llm.common import materialize, slices, text_or_empty
 from jobstrata.operators.joins import attach_lookup
 
-BLOCK = 1 << 22
-SEGMENT = 1 << 20
+BLOCK = 1 << 20
 # A pair is the A id times this plus the B id.
 SHIFT = 1 << 16
 # Fixed value: the pattern that byte-level vocabularies of this kind split texts by.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _BLANK = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
-# A blank with a letter or digit of ASCII on either side.
-_CUT = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
+# A blank between two characters that are none.
+_CUT = re.compile(r"(?<=[^ ]) (?=[^ ])")
 
 
 class Tokens:
@@ -54,7 +56,6 @@ class Tokens:
         self.sizes = np.array([len(x) for x in tokens], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.data = np.frombuffer(b"".join(tokens), np.uint8)
-        self.names = np.array([str(i) for i in range(len(tokens))])
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         return _ragged(self.starts, self.sizes, self.data, ids)
@@ -80,6 +81,11 @@ class Pair:
         if any(_BLANK in x.lstrip(_BLANK) or x.startswith(2 * _BLANK) and x.strip(_BLANK) for x in pieces):
             raise ValueError("pieces of this vocabulary go across blanks")
         self.b_tokens = Tokens([self._piece(i, x) for i, x in enumerate(pieces)])
+        # Every id as decimal digits and a place for the mark behind it.
+        numbers = [b"%d," % i for i in range(max(len(self.a_tokens.sizes), len(self.b_tokens.sizes)))]
+        self.number_sizes = np.array([len(x) for x in numbers], np.int64)
+        self.number_starts = np.cumsum(self.number_sizes) - self.number_sizes
+        self.number_data = np.frombuffer(b"".join(numbers), np.uint8)
         if len(self.b_tokens.sizes) > SHIFT:
             raise ValueError("too many pieces")
 
@@ -89,29 +95,57 @@ class Pair:
             return bytes([int(found[1], 16)])
         return piece.replace(_BLANK, " ").encode()
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of A over a blank and the text, and of B over the text; none where their bytes are not the text's."""
-        if not text:
-            return None
-        found_a, found_b = [], []
-        for part in parts(text, SEGMENT):
-            found_a.append(np.array(self.a.encode_ordinary(" " + part), np.int64))
-            found_b.append(np.array(self.b.encode(part), np.int64))
-            whole = np.frombuffer((" " + part).encode(), np.uint8)
-            for tokens, ids in ((self.a_tokens, found_a[-1]), (self.b_tokens, found_b[-1])):
-                if not np.array_equal(tokens.joined(ids), whole):
-                    return None
-        return np.concatenate(found_a), np.concatenate(found_b)
-
-
-def parts(text: str, size: int) -> Iterator[str]:
-    """A text in parts of about ``size``, cut at lone blanks, which both encoders put back in front of the next part."""
-    start = 0
-    while start < len(text):
-        found = _CUT.search(text, start + size)
-        stop = found.start() if found else len(text)
-        yield text[start:stop]
-        start = stop + 1
+    def _encode_a(self, units: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and how many each unit has. Units are encoded in one call, as a blank in front of each keeps them apart."""
+        if any(not x or x[0] == " " or x[-1] == " " for x in units):
+            return _row([self.a.encode_ordinary(" " + x) for x in units])
+        ids = np.array(self.a.encode_ordinary("".join(map(" ".__add__, units))), np.int64)
+        ends = np.searchsorted(np.cumsum(self.a_tokens.sizes[ids]), np.cumsum(lengths)) + 1
+        return ids, np.diff(ends, prepend=0)
+
+    def encode(self, units: list[str]) -> tuple[np.ndarray, ...]:
+        """Ids of A, ids of B (of a blank and each unit), how many of each a unit has, and whether both give its bytes."""
+        whole = ("".join(map(" ".__add__, units))).encode()
+        lengths = np.fromiter((len(x.encode()) + 1 for x in units), np.int64, len(units))
+        sides = []
+        for tokens, (ids, sizes) in ((self.a_tokens, self._encode_a(units, lengths)), (self.b_tokens, _row(self.b.encode(units, num_threads=1)))):
+            sides.append((ids, sizes, tokens.joined(ids), _sums(tokens.sizes[ids], sizes)))
+        good = np.ones(len(units), bool)
+        for _, _, data, found in sides:
+            if len(data) == len(whole) and data.tobytes() == whole:
+                continue
+            # Only where something differs, unit by unit.
+            ends, stops = np.cumsum(found).tolist(), np.cumsum(lengths).tolist()
+            raw = data.tobytes()
+            for i, (n, m) in enumerate(zip(found.tolist(), lengths.tolist())):
+                good[i] &= raw[ends[i] - n : ends[i]] == whole[stops[i] - m : stops[i]]
+        return sides[0][0], sides[1][0], sides[0][1], sides[1][1], good
+
+
+def _row(coded: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists in a row, and their lengths."""
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+    return np.fromiter(chain.from_iterable(coded), np.int64, int(sizes.sum())), sizes
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values in rising order; sorting beats hashing here."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the runs of the given sizes."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(sizes)
+    return total[ends] - total[ends - sizes]
+
+
+def units_of(text: str) -> list[str]:
+    """A text cut at its lone blanks. Both sides begin a token at each of them, so no token and no group goes across."""
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 @lru_cache(2)
@@ -141,92 +175,106 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
 
 def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of tokens that overlap: between two neighbouring ends of either side lies one."""
-    ends = np.union1d(ends_a, ends_b)
+    ends = _distinct(np.concatenate([ends_a, ends_b]))
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
-def written(tokens: list[tuple[Tokens, np.ndarray, np.ndarray]], some: int = 1 << 16) -> Iterator[str]:
-    """Groups as text, ``some`` at a time: ids of a side joined by commas, sides by a bar, groups by a semicolon."""
-    for at in range(0, len(tokens[0][2]), some):
-        sides = []
-        for vocab, ids, ends in tokens:
-            first = ends[at - 1] if at else 0
-            stops = (ends[at : at + some] - first).tolist()
-            names = vocab.names[ids[first : first + stops[-1]]].tolist()
-            sides.append([",".join(names[a:b]) for a, b in zip([0, *stops[:-1]], stops)])
-        yield (";" if at else "") + ";".join(map("|".join, zip(*sides)))
-
-
-def align(own: Pair, texts: list[str]) -> list[tuple]:
-    """n_a, n_b, n_groups, groups (as text, in pieces) and links (as pairs) of each text; all pointers are doubled together."""
-    coded = [own.encode(x) for x in texts]
-    some = [x for x in coded if x is not None]
-    if not some:
-        return [(0, 0, 0, (), np.zeros(0, np.int64))] * len(texts)
-    sizes_a, sizes_b = (np.array([len(x[k]) for x in some]) for k in (0, 1))
-    ids_a, ids_b = (np.concatenate([x[k] for x in some]) for k in (0, 1))
+def written(own: Pair, ids: tuple[np.ndarray, np.ndarray], group: tuple[np.ndarray, np.ndarray], sizes: np.ndarray) -> list[str]:
+    """The groups of each unit as text: ids of a side joined by commas, sides by a bar, groups by a semicolon.
+
+    ``group`` numbers the group of every token, ``sizes`` the tokens of both sides per unit.
+    """
+    n_a, n_b = len(ids[0]), len(ids[1])
+    last = [np.append(g[1:] != g[:-1], True) for g in group]
+    # In front of a token of A stand the tokens of B of earlier groups, in front of one of B those of A up to its own group.
+    at_a = np.arange(n_a) + np.searchsorted(group[1], group[0])
+    at_b = np.arange(n_b) + np.searchsorted(group[0], group[1], side="right")
+    codes = np.empty(n_a + n_b, np.int64)
+    marks = np.full(n_a + n_b, ord(","), np.uint8)
+    codes[at_a], codes[at_b] = ids
+    marks[at_a[last[0]]], marks[at_b[last[1]]] = ord("|"), ord(";")
+    data = _ragged(own.number_starts, own.number_sizes, own.number_data, codes).copy()
+    data[np.cumsum(own.number_sizes[codes]) - 1] = marks
+    text = data.tobytes().decode("ascii")
+    ends = np.cumsum(_sums(own.number_sizes[codes], sizes)).tolist()
+    # Without the last semicolon of each unit.
+    return [text[a : max(a, b - 1)] for a, b in zip([0, *ends], ends)]
+
+
+def align(own: Pair, units: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Distinct units: n_a, n_b, n_groups, n_links per unit (all 0 where bytes differ), groups as text, links, and which fit.
+
+    Tokens of all units lie in one row, and their pointers are doubled together.
+    """
+    ids_a, ids_b, n_a, n_b, good = own.encode(units)
+    ids_a, ids_b = ids_a[np.repeat(good, n_a)], ids_b[np.repeat(good, n_b)]
+    n_a, n_b = n_a * good, n_b * good
+    if not len(ids_a):
+        return np.zeros((4, len(units)), np.int64), [""] * len(units), np.zeros(0, np.int64), good
     ends_a, ends_b = np.cumsum(own.a_tokens.sizes[ids_a]), np.cumsum(own.b_tokens.sizes[ids_b])
     label = terminals(ends_a, ends_b)
-    # Terminals rise from left to right, so the groups of a text lie in a row.
-    last_a = np.flatnonzero(np.diff(label[: len(ids_a)], append=-1)) + 1
-    last_b = np.flatnonzero(np.diff(label[len(ids_a) :], append=-1)) + 1
+    # Terminals rise from left to right, so a group is a run of one label.
+    text = written(own, (ids_a, ids_b), (label[: len(ids_a)], label[len(ids_a) :]), n_a + n_b)
     at_a, at_b = links(ends_a, ends_b)
-    pairs = ids_a[at_a] * SHIFT + ids_b[at_b]
-    stops_a, stops_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
-    out, k = [], 0
-    for one in coded:
-        if one is None:
-            out.append((0, 0, 0, (), pairs[:0]))
-            continue
-        low_a, high_a, low_b = stops_a[k] - sizes_a[k], stops_a[k], stops_b[k] - sizes_b[k]
-        first, stop = np.searchsorted(last_a, [low_a + 1, high_a + 1])
-        text = written([(own.a_tokens, one[0], last_a[first:stop] - low_a), (own.b_tokens, one[1], last_b[first:stop] - low_b)])
-        a, b = np.searchsorted(at_a, [low_a, high_a])
-        out.append((len(one[0]), len(one[1]), int(stop - first), text, pairs[a:b]))
-        k += 1
-    return out
+    n_groups = _sums(np.append(label[1 : len(ids_a)] != label[: len(ids_a) - 1], True).astype(np.int64), n_a)
+    n_links = _sums(np.bincount(at_a, minlength=len(ids_a)), n_a)
+    return np.stack([n_a, n_b, n_groups, n_links]), text, ids_a[at_a] * SHIFT + ids_b[at_b], good
 
 
 _FIELDS = [
     ("doc_id", pa.int64()), ("block", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
-    ("groups_sha256", pa.string()), ("places", pa.list_(pa.int32())), ("pairs", pa.list_(pa.int64())), ("holders", pa.list_(pa.int32())),
+    ("groups_sha256", pa.string()), ("units", pa.list_(pa.int32())), ("pairs", pa.list_(pa.int64())), ("holders", pa.list_(pa.int32())),
+    ("unit_links", pa.list_(pa.int32())), ("places", pa.list_(pa.int32())),
 ]
 ALIGNED = (
     "doc_id long, block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-    "places array<int>, pairs array<long>, holders array<int>"
+    "units array<int>, pairs array<long>, holders array<int>, unit_links array<int>, places array<int>"
 )
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, groups: bool = False) -> DataFrame:
-    """One row per row of ``docs``: its counts, the digest of its groups, and its links as ``places`` in its block's pairs.
+    """One row per row of ``docs``: its counts, the digest of its groups, and its ``units`` as numbers of its block.
 
-    The first row of a block also has the block's distinct ``pairs`` and how many documents of the block hold each. With
-    ``groups``, the groups themselves follow as text.
+    The first row of a block also has the block's distinct ``pairs``, how many documents of the block hold each, and for every
+    unit how many links it has and their ``places`` among the pairs. With ``groups``, the groups themselves follow as text.
     """
     schema = pa.schema(_FIELDS + [("groups", pa.string())] * groups)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabularies(path_a, path_b)
         for batch in slices(batches, "text", BLOCK):
-            found = align(own, batch.column("text").to_pylist())
-            sizes = np.array([len(x[4]) for x in found])
-            pairs, places = np.unique(np.concatenate([x[4] for x in found]), return_inverse=True)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
+            number: dict[str, int] = {}
+            rows = [[number.setdefault(u, len(number)) for u in units_of(x)] if x else [] for x in batch.column("text").to_pylist()]
+            counts, texts, pairs, good = align(own, list(number))
+            del number
+            n = np.fromiter(map(len, rows), np.int64, len(rows))
+            codes = np.fromiter(chain.from_iterable(rows), np.int64, int(n.sum()))
+            # A text with a unit whose bytes differ has no tokens.
+            fits = _sums(~good[codes], n) == 0
+            codes, n = codes[np.repeat(fits, n)], n * fits
+            distinct, places = np.unique(pairs, return_inverse=True)
             # Each document counts once for each of its pairs.
-            held = np.unique(np.repeat(np.arange(len(found)), sizes) * max(1, len(pairs)) + places) % max(1, len(pairs))
-            holders = np.bincount(held, minlength=len(pairs)).astype(np.int32)
-            first = [pairs] + [None] * (len(found) - 1), [holders] + [None] * (len(found) - 1)
-            texts, digests = [], []
-            for one in found:
+            owner = np.repeat(np.arange(len(rows)), n)
+            once = _distinct(owner * len(good) + codes)
+            some = once % max(1, len(good))
+            first = np.cumsum(counts[3]) - counts[3]
+            held = _ragged(first, counts[3], places, some) * len(rows) + np.repeat(once // max(1, len(good)), counts[3][some])
+            holders = np.bincount(_distinct(held) // max(1, len(rows)), minlength=len(distinct)).astype(np.int32)
+            ends = np.cumsum(n).tolist()
+            digests, written_out = [], []
+            for a, b in zip([0, *ends], ends):
                 digest, kept = hashlib.sha256(), []
-                for piece in one[3]:
+                for at in range(a, b, 1 << 16):
+                    piece = ";" * (at > a) + ";".join([texts[i] for i in codes[at : min(b, at + (1 << 16))].tolist()])
                     digest.update(piece.encode())
                     kept += [piece] * groups
-                digests.append(digest.hexdigest() if one[0] else "")
-                texts.append("".join(kept))
+                digests.append(digest.hexdigest() if b > a else "")
+                written_out.append("".join(kept))
+            lead = [[x] + [None] * (len(rows) - 1) for x in (distinct, holders, counts[3].astype(np.int32), places.astype(np.int32))]
+            small = codes.astype(np.int32)
             columns = [
-                batch.column("doc_id"), batch.column("row").take(pa.array([0] * len(found))), *[[x[k] for x in found] for k in range(3)],
-                sizes, digests, [places[a:b].astype(np.int32) for a, b in zip(ends[:-1], ends[1:])], *first, *[texts] * groups,
+                batch.column("doc_id"), batch.column("row").take(pa.array([0] * len(rows))), *[_sums(counts[k][codes], n) for k in range(4)],
+                digests, [small[a:b] for a, b in zip([0, *ends], ends)], *lead, *[written_out] * groups,
             ]
             arrays = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, schema)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
@@ -250,16 +298,16 @@ def pair_counts(made: DataFrame) -> DataFrame:
 def _scored(left: pa.Table, right: pa.Table) -> pa.Table:
     """Rows of a block with their sums over the totals of the block's pairs."""
     order = np.argsort(right.column("pair").to_numpy())
-    documents = right.column("documents").to_numpy()[order]
-    best = right.column("best").to_numpy()[order].astype(np.int64)
-    n_best, sums = [], []
-    for places in left.column("places").combine_chunks():
-        at = places.values.to_numpy()
-        n_best.append(int(best[at].sum()))
-        sums.append(int(documents[at].sum()))
-    kept = left.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"])
-    kept = kept.append_column("n_best", pa.array(n_best, pa.int64())).append_column("count_sum", pa.array(sums, pa.int64()))
-    return kept.append_column("groups_sha256", left.column("groups_sha256"))
+    totals = [right.column("best").to_numpy()[order].astype(np.int64), right.column("documents").to_numpy()[order]]
+    head = left.filter(pc.is_valid(left.column("places")))
+    sizes, places = (head.column(x).combine_chunks().flatten().to_numpy().astype(np.int64) for x in ("unit_links", "places"))
+    units = left.column("units").combine_chunks()
+    n, codes = pc.list_value_length(units).to_numpy().astype(np.int64), units.flatten().to_numpy()
+    out = left.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"])
+    for name, total in zip(("n_best", "count_sum"), totals):
+        # Summed per unit first, then per document.
+        out = out.append_column(name, pa.array(_sums(_sums(total[places], sizes)[codes], n), pa.int64()))
+    return out.append_column("groups_sha256", left.column("groups_sha256"))
 
 
 def compare(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:

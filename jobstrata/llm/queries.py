@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.llm import (
-    alignment, bpe, exact_dedup, fingerprints, language_id, line_dedup, merkle, packing, quality, simhash_dedup, url_filter, warc,
+    alignment, bpe, exact_dedup, fingerprints, language_id, line_dedup, merkle, packing, pii, quality, simhash_dedup, url_filter,
+    warc,
 )
 from jobstrata.llm.common import crc_rest, documents, table
 
@@ -133,6 +134,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(documents(spark, sf_dir))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -202,6 +207,7 @@ def queries() -> dict[str, Run]:
         "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_pii": op11_pii,
         "op12_token_alignment": op12_token_alignment,
         "op13_merkle_manifest": op13_merkle_manifest,
     }

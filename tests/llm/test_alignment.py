@@ -101,15 +101,12 @@ def test_odd_rows(spark, libraries):
     assert alignment.compare(odd.empty(spark), A, B).count() == 0
 
 
-def test_long_texts_in_parts(libraries, monkeypatch):
+def test_units_make_up_the_whole(libraries):
     own = alignment.vocabularies(A, B)
-    text = "It's one  text, with\n\nparts 12 345 and it's cut anywhere " * 40 + "ü" * 300 + " end"
-    whole = own.encode(text)
-    monkeypatch.setattr(alignment, "SEGMENT", 17)
-    assert len(list(alignment.parts(text, 17))) > 50
-    for a, b in zip(whole, own.encode(text)):
-        assert np.array_equal(a, b)
-    assert list(whole[0]) == libraries(text)[0] and list(whole[1]) == libraries(text)[1]
+    for text in ["It's one  text, with\n\nparts 12 345 and it's \n cut \t anywhere " * 4 + "ü" * 300 + " end", " lead", "x", "a \n b", "a\u00a0 b \u3000c 'll 's"]:
+        a, b, n_a, n_b, good = own.encode(alignment.units_of(text))
+        whole = libraries(text)
+        assert good.all() and a.tolist() == whole[0] and b.tolist() == whole[1] and n_a.sum() == len(a) and n_b.sum() == len(b)
 
 
 def test_pointer_jumping():
@@ -124,11 +121,9 @@ def test_pointer_jumping():
             assert np.array_equal(label[first : first + len(side)], expected)
 
 
-def test_digest_in_pieces():
-    own = alignment.vocabularies(A, B)
-    found = alignment.align(own, ["Some words, Ünïcode and more words 123"])[0]
-    ids = own.encode("Some words, Ünïcode and more words 123")
-    ends = [np.cumsum(t.sizes[x]) for t, x in ((own.a_tokens, ids[0]), (own.b_tokens, ids[1]))]
-    stops = [np.searchsorted(x, np.intersect1d(*ends)) + 1 for x in ends]
-    sides = [(own.a_tokens, ids[0], stops[0]), (own.b_tokens, ids[1], stops[1])]
-    assert "".join(alignment.written(sides, 3)) == "".join(found[3]) == "".join(alignment.written(sides, 1))
+def test_groups_as_text(spark, libraries):
+    text = "Some words, Ünïcode and more words 123"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    groups = merged(libraries, text)[0]
+    found = alignment.aligned(docs, A, B, groups=True).first()["groups"]
+    assert found == ";".join("|".join(",".join(map(str, side)) for side in g) for g in groups)
