@@ -208,14 +208,13 @@ def manifest(leaves: DataFrame, depth: int = LEVELS) -> tuple[DataFrame, DataFra
     subroots = state.filter("block = 0").select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("node").alias("leaf"))
     top = blocks(subroots, ["name"], ["name"], depth)
     top_state = exchange(top)
-    root = top_state.filter("block = 0").select(F.lit("").alias("key"), F.col("node").alias("root"))
+    root = top_state.filter("block = 0").select("node").first()
     over = paths(top, top_state, "name", depth).select(
         F.col("name").alias("tree"), F.col("positions").alias("over_positions"), F.col("siblings").alias("over_siblings")
     )
-    above = attach_lookup(state, over, ["tree"], ["over_positions", "over_siblings"]).withColumn("key", F.lit(""))
-    above = attach_lookup(above, root, ["key"], ["root"])
+    above = attach_lookup(state, over, ["tree"], ["over_positions", "over_siblings"])
     above = above.select(
-        "tree", "block", F.col("node").alias("subroot"), "root",
+        "tree", "block", F.col("node").alias("subroot"), F.lit(root and root["node"]).cast("string").alias("root"),
         F.concat("positions", "over_positions").alias("positions"), F.concat("siblings", "over_siblings").alias("siblings"),
     )
     return made, materialize(above, "above")

@@ -226,6 +226,7 @@ def views(row: list[Token]) -> Iterator[tuple[int, int, int, int, int, int, int]
     chain, _ = ties(row)
     before, after = {b: a for a, b in chain}, dict(chain)
     known: dict[str, list[int]] = {}
+    size = Counter(x.key for x in row)
     for i, token in enumerate(row):
         if token.base:
             known.setdefault(token.key, []).append(i)
@@ -234,13 +235,19 @@ def views(row: list[Token]) -> Iterator[tuple[int, int, int, int, int, int, int]
         # A candidate like a base span is neither an example for nor against; an address without one says nothing.
         if not token.base and like or token.base == EMAIL and not like:
             continue
+        # Candidates that resemble each other only are examples of agreeing on no label.
+        if not like and not token.base and size[token.key] > 1:
+            like = [0]
         sides = [row[x[i]].base if i in x else -1 for x in (before, after)]
         yield token.shape, token.style, token.cue, *sides, like[0] if like else -1, token.base
 
 
 @dataclass
 class Field:
-    """Weights: label by shape, by style, by cue; label by next label; agreement of alike tokens per label."""
+    """Weights: label by shape, by style, by cue; label by next label; agreement of alike tokens, one for all labels.
+
+    A weight per label would let tokens that only resemble each other talk themselves into one.
+    """
 
     shape: np.ndarray
     style: np.ndarray
@@ -260,7 +267,7 @@ class Field:
 
 
 # What the fit assumes before it has seen anything, as rows of ``views``: any candidate alone is no data, and what is like a
-# base span of a fitting kind is data. Together they weigh PRIOR of all counts, so they matter alike at every size.
+# base span of a fitting kind is data, whatever stands beside it. Together they weigh PRIOR of all counts, so they matter alike at every size.
 PRIOR = 0.05
 
 
@@ -269,8 +276,9 @@ def _prior() -> list[tuple[int, ...]]:
     for shape, name in enumerate(SHAPES):
         alike = {"quads": (IP,), "address": (EMAIL,), "name": (EMAIL,), "luhn": (CARD,), "long": (CARD,)}.get(name, (PHONE,))
         for style in range(len(STYLES)):
-            out.append((shape, style, 0, -1, -1, -1, 0))
-            out += [(shape, style, 0, -1, -1, k, k) for k in alike]
+            for sides in ((-1, -1), (0, -1), (-1, 0), (0, 0)):
+                out += [(shape, style, 0, *sides, -1, 0), (shape, style, 0, *sides, 0, 0)]
+                out += [(shape, style, 0, *sides, k, k) for k in alike]
     return out
 
 
@@ -283,18 +291,18 @@ def fit(counts: dict[tuple[int, ...], int], steps: int = 600, penalty: float = 1
     weight = np.array([n * (1 - share) / given for n in counts.values()] + [share / len(prior)] * len(prior))
     shape, style, cue, left, right, like, label = rows.T
     n, m = len(rows), len(LABELS)
-    sizes = [(len(SHAPES), m), (len(STYLES), m), (m, m), (m, m), (m,)]
+    sizes = [(len(SHAPES), m), (len(STYLES), m), (m, m), (m, m), (1,)]
     ends = np.cumsum([int(np.prod(s)) for s in sizes])
     theta = np.zeros(ends[-1])
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     target = np.eye(m)[label]
-    has_left, has_right, has_like = left >= 0, right >= 0, like > 0
+    has_left, has_right, has_like = left >= 0, right >= 0, like >= 0
     for step in range(1, steps + 1):
         w = [x.reshape(s) for x, s in zip(np.split(theta, ends[:-1]), sizes)]
         score = w[0][shape] + w[1][style] + w[2][cue]
         score[has_left] += w[3][left[has_left]]
         score[has_right] += w[3].T[right[has_right]]
-        score[np.flatnonzero(has_like), like[has_like]] += w[4][like[has_like]]
+        score[np.flatnonzero(has_like), like[has_like]] += w[4]
         p = np.exp(score - score.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         error = weight[:, None] * (target - p)
@@ -303,7 +311,7 @@ def fit(counts: dict[tuple[int, ...], int], steps: int = 600, penalty: float = 1
             np.add.at(g, index, error)
         np.add.at(grads[3], left[has_left], error[has_left])
         np.add.at(grads[3].T, right[has_right], error[has_right])
-        np.add.at(grads[4], like[has_like], error[np.flatnonzero(has_like), like[has_like]])
+        grads[4] += error[np.flatnonzero(has_like), like[has_like]].sum()
         gradient = np.concatenate([g.ravel() for g in grads]) - penalty * theta
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
@@ -342,7 +350,7 @@ def marginals(unary: np.ndarray, edges: np.ndarray, potentials: np.ndarray, roun
 
 def label(field: Field, docs: list[list[Token]]) -> list[list[tuple[int, int, int]]]:
     """Label, start and end of the candidates that become spans, per document; all documents' messages pass together."""
-    agree = np.diag(np.where(np.arange(len(LABELS)) > 0, field.skip, 0.0))
+    agree = np.eye(len(LABELS)) * field.skip
     rows, edges, tables, first = [], [], [], 0
     for row in docs:
         rows.append(field.unary(row))

@@ -91,8 +91,8 @@ def test_pseudo_likelihood_gradient_ends_at_a_maximum():
             shape, style, cue, left, right, like, y = row
             score = f.shape[shape] + f.style[style] + f.cue[cue]
             score = score + (f.chain[left] if left >= 0 else 0) + (f.chain[:, right] if right >= 0 else 0)
-            if like > 0:
-                score = score + np.eye(5)[like] * f.skip[like]
+            if like >= 0:
+                score = score + np.eye(5)[like] * f.skip
             total += weight * (score[y] - np.logaddexp.reduce(score))
         return total - 0.5e-5 * sum(float((x**2).sum()) for x in vars(f).values())
 
@@ -106,7 +106,7 @@ def test_pseudo_likelihood_gradient_ends_at_a_maximum():
 def written(spark):
     filler = "The house of the old town has 12345678 doors and 2024-01-15 dates. " * 3
     texts = [f"{filler} write to {n}.{k}@mail.example.com or call +1 ({200 + k}) 555-{1000 + k} now. {filler}" for k, n in enumerate(["ana", "bob", "eve"] * 20)]
-    texts += ["ids 1234567890 and 99887766 and 20240115 here", "nothing at all", "10.20.30.40 is a host"] * 20
+    texts += ["ids 1234567890 and 99887766 and 20240115 here", "nothing at all", "10.20.30.40 is a host", "paid with 4111111111111111 then"] * 20
     probes = {
         1000: ("Call +1 (743) 555-3824 today. " + filler + " Again: 743-555-3824.", ["743-555-3824"]),
         1001: ("4465758382889437 4465758382889437 twice", ["4465758382889437", "4465758382889437"]),
