@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["rules", "ingest", "relations", "aggregates", "streams"]
+MODULES = ["rules", "ingest", "relations", "aggregates", "streams", "stores"]
 
 
 def load() -> dict:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from jobstrata import vocab
 from jobstrata.catalog.aggregates import DECISIONS_SQL, decisions
 from jobstrata.catalog.base import EVENTS_DAY, ORDERS_DAY, over_postings, postings, query, table
 from jobstrata.catalog.ingest import events_stream
@@ -31,14 +32,17 @@ def i01(spark, sf):
 
 @query(
     "i02_medallion_stream",
-    over_postings(*ALL_PARTS, more=GOLD_SQL, body="SELECT * EXCLUDE (ingestion_timestamp) FROM gold WHERE category = 'data_engineer'"),
+    over_postings(*ALL_PARTS, more=GOLD_SQL, body="SELECT category AS domain, * EXCLUDE (ingestion_timestamp) FROM gold"),
 )
 def i02(spark, sf):
     landing, target = fresh_path(spark, "landing"), fresh_path(spark, "lake")
-    raw = raw_postings(spark, sf).filter(c("category") == "data_engineer")
-    write_domain_files(raw.select(*RAW_POSTING.fieldNames()), landing, "data_engineer")
-    gold = layers.run_domain(spark, landing, target, "data_engineer", ORDERS_DAY)
-    return gold.drop("ingestion_timestamp")
+    raw = raw_postings(spark, sf)
+    for domain in vocab.DOMAINS:
+        own = raw.filter(c("category") == domain).select(*RAW_POSTING.fieldNames())
+        write_domain_files(own, f"{landing}/{domain}", domain)
+    gold = layers.run_all(spark, landing, target, ORDERS_DAY)
+    # When a row was ingested is the time of this run.
+    return gold.drop("ingestion_timestamp", "effective_posted_time")
 
 
 def write_domain_files(df, path, domain):

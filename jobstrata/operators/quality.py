@@ -47,7 +47,7 @@ JOBS_SILVER_WARN: Rules = {
 }
 
 
-def _passes(rule: str) -> Column:
+def passes(rule: str) -> Column:
     """A rule that evaluates to NULL has failed."""
     return F.coalesce(F.expr(rule), F.lit(False))
 
@@ -57,7 +57,7 @@ def expectation_report(df: DataFrame, rules: Rules) -> DataFrame:
     names = list(rules)
     counts = df.agg(
         F.count("*").alias("_total"),
-        *[F.count_if(_passes(rules[n])).alias(f"_p{i}") for i, n in enumerate(names)],
+        *[F.count_if(passes(rules[n])).alias(f"_p{i}") for i, n in enumerate(names)],
     )
     rows = F.array(
         *[
@@ -78,7 +78,7 @@ def watch(df: DataFrame, rules: Rules, observation: Observation | str) -> DataFr
     Needs no second pass over the data and works on streams, where the counts appear in the
     query's progress under the observation's name. ``total`` counts all rows.
     """
-    counts = [F.count_if(_passes(rule)).alias(name) for name, rule in rules.items()]
+    counts = [F.count_if(passes(rule)).alias(name) for name, rule in rules.items()]
     return df.observe(observation, F.count(F.lit(1)).alias("total"), *counts)
 
 
@@ -137,7 +137,7 @@ def check_report(df: DataFrame, checks: list[Check]) -> DataFrame:
         if c.unique:
             aggs.append((F.count(c.rule) - F.count_distinct(F.col(c.rule))).alias(f"_v{i}"))
         else:
-            aggs.append(F.count_if(~_passes(c.rule)).alias(f"_v{i}"))
+            aggs.append(F.count_if(~passes(c.rule)).alias(f"_v{i}"))
     rows = F.array(
         *[
             F.struct(F.lit(c.name).alias("rule"), F.lit(c.action).alias("action"), F.col(f"_v{i}").alias("violations"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from jobstrata import schemas
 from jobstrata.plans import marts
+from jobstrata.plans.feed import FeedStore
 
 
 def register_gold_all(gold_all: DataFrame, name: str = "vw_jobs_gold_all") -> None:
@@ -24,6 +25,13 @@ def register_job_views(current: DataFrame, quality: DataFrame) -> None:
     quality.createOrReplaceTempView("vw_data_quality")
 
 
+def register_feed_tables(store: FeedStore, prefix: str = "chat_agent") -> None:
+    """State, sent and response tables of a feed as views on its committed cycles."""
+    views = {"state": store.state(), "sent_jobs": store.sent().drop("cycle"), "responses": store.responses()}
+    for name, rows in views.items():
+        rows.createOrReplaceTempView(f"{prefix}_{name}")
+
+
 def ensure_feed_tables(spark: SparkSession, prefix: str = "chat_agent") -> None:
     """Create the state, sent and response tables when they do not exist."""
     tables = {"state": schemas.STATE, "sent_jobs": schemas.SENT, "responses": schemas.RESPONSES}

@@ -34,7 +34,8 @@ MESSAGE = T.StructType(
 )
 
 # Message envelope as a broker delivers it.
-ENVELOPE = struct("key binary, value binary, timestamp timestamp")
+_PLACE = [T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType())]
+ENVELOPE = T.StructType(struct("key binary, value binary").fields + _PLACE + struct("timestamp timestamp").fields)
 
 # API payload: the company arrives as an object or as plain text, so it is read as text first.
 PAYLOAD_ITEM = struct(
@@ -47,7 +48,12 @@ PAYLOAD_ITEM = struct(
 PAYLOAD = T.StructType().add("success", T.BooleanType()).add("data", T.ArrayType(PAYLOAD_ITEM))
 PAYLOAD_COMPANY = struct("name string, id string, url string")
 
-BRONZE = RAW_POSTING.fieldNames() + ["_rescued_data", "ingestion_timestamp", "source_file", "extract_date"]
+BRONZE_ROW = T.StructType(
+    RAW_POSTING.fields
+    + [T.StructField("_rescued_data", T.MapType(T.StringType(), T.StringType()))]
+    + struct("ingestion_timestamp timestamp, source_file string, extract_date string").fields
+)
+BRONZE = BRONZE_ROW.fieldNames()
 
 SILVER_STG = (
     "job_id title company location description description_snippet description_length url "

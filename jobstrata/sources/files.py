@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,25 +150,56 @@ def save_layer_table(
 
 
 def append_jsonl(df: DataFrame, path: str, partitions: list[str]) -> None:
-    """Append postings as JSON lines, one folder per partition value."""
-    df.write.mode("append").partitionBy(*partitions).json(path)
+    """Append postings as JSON lines, one folder per partition value, with one file in it unless it gets far more than others."""
+    df.hint("rebalance", *[F.col(c) for c in partitions]).write.mode("append").partitionBy(*partitions).json(path)
+
+
+_BLANKS = " \t\r\n"
 
 
 def array_elements(df: DataFrame, value: str = "value") -> DataFrame:
-    """One row per element of a line that holds a JSON array; other lines, broken arrays among them, stay as they are."""
+    """One row per element of a text that holds a JSON array; other texts, broken arrays among them, stay as they are."""
     line = F.array(F.col(value))
     elements = F.coalesce(F.from_json(F.col(value), "array<string>"), line)
-    is_array = F.startswith(F.ltrim(value), F.lit("["))
+    is_array = F.startswith(F.ltrim(F.col(value), F.lit(_BLANKS)), F.lit("["))
     others = [c for c in df.columns if c != value]
     return df.select(*others, F.explode(F.when(is_array, elements).otherwise(line)).alias(value)).filter(F.col(value).isNotNull())
 
 
-def read_bronze(spark: SparkSession, root: str, domain: str, stream: bool = False) -> DataFrame:
-    """Bronze rows of one domain: parsed fields, rescued data and lineage.
+def array_files(lines: DataFrame) -> list[str]:
+    """Files that hold one array printed over several lines: the first line that is not blank opens an array and does not end it.
 
-    A line holds one posting or an array of postings.
+    ``lines`` has value, source_file and _block, the place of the line's split in its file. One row per file comes back.
     """
+    opens = F.startswith(F.ltrim(F.col("value"), F.lit(_BLANKS)), F.lit("[")) & F.from_json("value", "array<string>").isNull()
+    placed = lines.select("source_file", opens.alias("opens"), F.struct("_block", F.monotonically_increasing_id()).alias("place"))
+    firsts = placed.groupBy("source_file").agg(F.min_by("opens", "place").alias("opens")).filter("opens")
+    return [row["source_file"] for row in firsts.collect()]
+
+
+def bronze_lines(spark: SparkSession, root: str, domain: str, stream: bool = False) -> DataFrame:
+    """Lines of the files of a domain with their lineage, for ``bronze_rows``."""
     read = ingest_text_stream if stream else read_text_lines
-    lines = read(spark, root, domain_glob(domain))
-    lined = with_lineage(filter_source_files(lines, domain).filter(F.trim("value") != ""))
-    return with_rescued(array_elements(lined), schemas.RAW_POSTING).select(*schemas.BRONZE)
+    lines = filter_source_files(read(spark, root, domain_glob(domain)), domain).filter(F.trim("value") != "")
+    return with_lineage(lines.withColumn("_block", F.col("_metadata.file_block_start")))
+
+
+def bronze_rows(lines: DataFrame) -> DataFrame:
+    """Bronze rows from lines: parsed fields, rescued data and lineage.
+
+    A line holds one posting or an array of postings. Files that hold an array over several lines are found by their first line
+    and read whole, each by one task; a broken one is one corrupt row. All other files are read by line, however
+    large they are. Looking for array files is an action; in a stream it concerns the files of a micro-batch.
+    """
+    arrays = array_files(lines)
+    rows = lines.drop("_block")
+    if arrays:
+        # The names are on the driver already, so lines are told apart without a join.
+        whole = lines.sparkSession.read.text([unquote(x) for x in arrays], wholetext=True)
+        rows = rows.filter(~F.col("source_file").isin(arrays)).unionByName(with_lineage(whole))
+    return with_rescued(array_elements(rows), schemas.RAW_POSTING).select(*schemas.BRONZE)
+
+
+def read_bronze(spark: SparkSession, root: str, domain: str) -> DataFrame:
+    """Bronze rows of one domain. Streams take ``bronze_lines`` and make rows of each micro-batch."""
+    return bronze_rows(bronze_lines(spark, root, domain))

@@ -9,6 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from jobstrata import vocab
 from jobstrata.functions.dates import AsOf, as_date
+from jobstrata.session import adaptive
 
 
 def kafka_source_options(cfg: dict[str, str]) -> dict[str, str]:
@@ -52,6 +53,16 @@ def decode_messages(df: DataFrame, schema: T.StructType) -> DataFrame:
     ).select("data.*", "kafka_timestamp", "kafka_key")
 
 
+def envelope_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Decoded messages with where they come from: topic, partition, offset, and all three as ``message_id``."""
+    place = ["topic", "partition", "offset"]
+    decoded = df.select(
+        F.from_json(F.col("value").cast("string"), schema).alias("data"), *place,
+        F.concat_ws("/", *place).alias("message_id"), F.col("timestamp").alias("kafka_timestamp"), F.col("key").cast("string").alias("kafka_key"),
+    )
+    return decoded.select("data.*", *place, "message_id", "kafka_timestamp", "kafka_key")
+
+
 def encode_messages(df: DataFrame, key: Column) -> DataFrame:
     """Rows as keyed JSON; the key is repeated in the value as ``type``."""
     return df.withColumn("type", key.cast("string")).select(
@@ -61,7 +72,8 @@ def encode_messages(df: DataFrame, key: Column) -> DataFrame:
 
 def publish(df: DataFrame, key: Column, cfg: dict[str, str]) -> None:
     """Send rows to a topic; needs the Kafka connector on the class path."""
-    options = {k: v for k, v in kafka_source_options(cfg).items() if k.startswith("kafka.")}
+    kept = ("kafka.bootstrap.", "kafka.security.", "kafka.sasl.", "kafka.ssl.")
+    options = {k: v for k, v in kafka_source_options(cfg).items() if k.startswith(kept)}
     encode_messages(df, key).write.format("kafka").options(**options).option("topic", cfg["topic"]).save()
 
 
@@ -80,18 +92,19 @@ def write_json_by_category(
     df: DataFrame, path: str, checkpoint: str, partitions: tuple[str, ...] = ("category", "extract_date"),
     every: str | None = None,
 ) -> StreamingQuery:
-    """One stream into ``category=/extract_date=`` folders.
+    """One stream into ``category=/extract_date=/batch=`` folders.
 
     Runs until the input is used up, or on a timer when ``every`` is given (the message
-    stream runs every ``vocab.STREAM_TRIGGER``).
+    stream runs every ``vocab.STREAM_TRIGGER``). A micro-batch writes one file per category and day, however many tasks it
+    has, and several only where a folder gets far more than the others. The batch is the last folder, so a batch that runs
+    again replaces its own files and no others.
     """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        with adaptive(rows.sparkSession):
+            gathered = rows.hint("rebalance", *[F.col(x) for x in partitions]).withColumn("batch", F.lit(batch))
+            writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(*partitions, "batch").json(path)
+
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        df.writeStream.format("json")
-        .partitionBy(*partitions)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-    )
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()

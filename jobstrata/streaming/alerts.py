@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobstrata.functions.messages import alert_payload
-from jobstrata.operators.joins import narrow_history, new_only
+from jobstrata.operators.joins import usable
 from jobstrata.operators.select import keep_first
+from jobstrata.session import adaptive
+from jobstrata.sources.idstore import IdStore
+from jobstrata.streaming.sinks import batch_key
 
 
 def alert_rows(df: DataFrame, at: Column | None = None) -> DataFrame:
@@ -22,29 +25,31 @@ def alert_rows(df: DataFrame, at: Column | None = None) -> DataFrame:
 
 
 class AlertSink:
-    """``foreachBatch`` handler: alerts per category, ids of what was alerted as history."""
+    """``foreachBatch`` handler: alerts per category, ids of what was alerted as history.
 
-    def __init__(self, spark: SparkSession, root: str, history: DataFrame, arrival: list[str]):
+    The history is loaded once into buckets. After that a batch reads the buckets of its own ids only.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, history: DataFrame, arrival: list[str], compact_every: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
         self.history = history.select("job_id")
         self.arrival = arrival
-
-    def _seen(self, batch: int) -> DataFrame:
-        """Ids of the history and of all earlier batches."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(f"{self.root}/seen")
-        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            return self.history
-        earlier = self.spark.read.parquet(f"{self.root}/seen").filter(F.col("batch") < batch)
-        return self.history.unionByName(earlier.select("job_id"))
+        self.ids = IdStore(spark, f"{self.root}/ids", compact_every=compact_every)
 
     def apply(self, df: DataFrame, batch: int) -> None:
-        df.persist()
-        seen = narrow_history(self._seen(batch), df, "job_id")
-        fresh = keep_first(new_only(df, seen, "job_id"), ["job_id"], self.arrival)
-        alerts = alert_rows(fresh)
-        alerts.write.mode("overwrite").partitionBy("key").json(f"{self.root}/alerts/batch={batch}")
-        sent = self.spark.read.schema(alerts.schema).json(f"{self.root}/alerts/batch={batch}")
-        sent.select("job_id").write.mode("overwrite").parquet(f"{self.root}/seen/batch={batch}")
-        df.unpersist()
+        key = batch_key(batch)
+        # The ids are written last: with them, the batch is done.
+        if self.ids.table.committed(key):
+            return
+        if not self.ids.table.committed("history"):
+            self.ids.add(self.history, "history")
+        self.ids.upkeep(batch)
+        with adaptive(df.sparkSession):
+            first = keep_first(df.filter(usable("job_id")), ["job_id"], self.arrival).persist()
+            alerts = alert_rows(self.ids.unseen(first))
+            gathered = alerts.hint("rebalance", F.col("key"))
+            gathered.write.mode("overwrite").partitionBy("key").json(f"{self.root}/alerts/batch={batch}")
+            sent = self.spark.read.schema(alerts.schema).json(f"{self.root}/alerts/batch={batch}")
+            self.ids.add(sent, key)
+            first.unpersist()
