@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from jobstrata.session import materialize
 
-__all__ = ["SPACES", "crc_rest", "documents", "materialize", "slices", "table", "text_or_empty", "hex16", "with_row_id"]
+__all__ = ["SPACES", "aside", "crc_rest", "documents", "materialize", "slices", "table", "text_or_empty", "hex16", "with_row_id"]
 
 # The white space of the contracts: blank and the five controls from tab to carriage return.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -48,6 +48,18 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with columns of these names renamed to unused ones, and the renaming back."""
+    back: dict[str, str] = {}
+    for name in names:
+        if name in df.columns:
+            other = name + "_"
+            while other in df.columns or other in back:
+                other += "_"
+            back[other] = name
+    return df.withColumnsRenamed({name: other for other, name in back.items()}), back
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the strings of a column take about ``limit`` bytes; a longer row stays alone."""
     for batch in batches:

@@ -5,12 +5,14 @@ its known n-grams of four characters (word ends count as one), if there are none
 language with the greatest sum, prior included, is predicted. The score is its posterior share, with the evidence of long
 texts scaled down to ``EVIDENCE`` words so that it says something about them too.
 
-Learning takes a sample of the labelled rows: about ``PER_LANGUAGE`` of each language, chosen by a hash of the text,
-all if there are fewer; counts over the sample run in Spark, and at most ``LANGUAGES`` x (``WORDS`` + 4 x ``GRAMS``) of them
-reach the driver and the workers. Prediction reads every whole text in one pass.
+Learning takes a sample of the labelled rows: about ``PER_LANGUAGE`` of each language, chosen by a hash of text and id,
+all if there are fewer; every language that occurs is learned. Counts over the sample run in Spark, and at most ``WORDS`` + 4 x
+``GRAMS`` of each language reach the driver and the workers; beyond ``LANGUAGES`` languages fewer of each, so that the table of
+items by languages keeps its size. Prediction reads every whole text in one pass.
 
 Null texts and texts without a letter are ``und`` with score 0; so is everything if nothing could be learned. Rows without
-lang teach nothing. Texts of any length are read in segments. Repeated rows get equal results.
+lang teach nothing. Texts of any length are read in segments. Repeated rows get equal results; a tie goes to the first language by
+name. An empty table teaches nothing and gives an empty result. Columns named like the result's are kept apart.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from jobstrata.llm.bpe import SEGMENT, segments
 from jobstrata.llm.chars import LETTER, classes, points_of
-from jobstrata.llm.common import slices
+from jobstrata.llm.common import aside, slices
 
 PER_LANGUAGE = 3000
 LANGUAGES = 64
@@ -65,12 +67,11 @@ def _keys(points: np.ndarray, order: int) -> np.ndarray:
 
 def _sample(labelled: DataFrame, per_language: int) -> tuple[DataFrame, dict[str, int]]:
     """About ``per_language`` rows of each language, and how many each language has."""
-    top = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    sizes = {row["lang"]: row["count"] for row in top}
+    sizes = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().orderBy("lang").collect()}
     if not sizes:
         return labelled.limit(0), sizes
     rate = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)
+    draw = F.pmod(F.xxhash64("text", "drawn_by"), F.lit(1 << 20)) / (1 << 20)
     return labelled.filter(draw < rate[F.col("lang")]), sizes
 
 
@@ -90,10 +91,15 @@ def _scores(rows: list, column: str, languages: list[str]) -> tuple[list[str], n
 
 
 def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, words: int = WORDS, grams: int = GRAMS) -> Model:
-    """Learn from rows with text and lang."""
-    rows = labelled.select("lang", "text").dropna()
+    """Learn from rows with text and lang, every language that occurs."""
+    # Copies of one text are drawn one by one, if rows have ids.
+    drawn_by = F.col("doc_id").cast("string") if "doc_id" in labelled.columns else F.lit("")
+    rows = labelled.select("lang", "text", F.coalesce(drawn_by, F.lit("")).alias("drawn_by")).dropna()
     sample, sizes = _sample(rows, per_language)
     languages = sorted(sizes)
+    # Scores are a table of items by languages; with very many languages each brings fewer items.
+    share = min(1.0, (LANGUAGES / max(1, len(languages))) ** 2)
+    words, grams = max(200, int(words * share)), max(100, int(grams * share))
     prior = np.log(np.array([sizes[x] for x in languages], float) / max(1, sum(sizes.values())))
     each = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     counts = each.groupBy("lang", "word").agg(F.count("*").alias("n")).persist()
@@ -235,6 +241,6 @@ def accept(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """Rows whose language is known with a score of ``least`` or more. A model that has learned nothing rejects nothing."""
     if not model.languages:
         return docs
-    found = predict(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}), model, ["*"])
-    found = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
-    return found.withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"}).select(*docs.columns)
+    rows, back = aside(docs, ("lang_pred", "score"))
+    found = predict(rows, model, ["*"]).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.drop("lang_pred", "score").withColumnsRenamed(back).select(*docs.columns)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.llm.common import materialize, slices
+from jobstrata.llm.common import aside, materialize, slices
 
 LEADING = 2
 SPANS = 4
@@ -222,7 +222,9 @@ def without_passages(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """Every row with all its columns and the text without repeated lines and passages; n_chars, if there is one, is counted anew."""
+    columns = docs.columns
+    docs, back = aside(docs, ("_gone", "_n_lines", "_n_dropped"))
     found = without_passages(materialize(_stripped(docs, docs.columns).drop("_n_lines", "_n_dropped"), "stripped"))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    return found.withColumnsRenamed(back).select(*columns)

@@ -12,8 +12,8 @@ Matches are joined to components inside a task, which emits at most one edge per
 components of all edges follow by alternating stars.
 
 Equal texts share a fingerprint and are compared once, however many there are. Documents without words, null texts among
-them, have fingerprint zero and are linked like any other. Rows that share a ``doc_id`` are told apart by nothing: they are all
-reported, and stay or go by their component. A component without any ``doc_id`` has a null id. Other columns are ignored.
+them, have fingerprint zero and are linked like any other. Rows that share a ``doc_id`` are all reported; where rows are dropped,
+they are told apart by their texts. A component without any ``doc_id`` has a null id. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,13 +23,14 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.llm.common import hex16, materialize, text_or_empty, with_row_id
+from jobstrata.llm.common import aside, hex16, materialize, text_or_empty, with_row_id
 from jobstrata.llm.components import components
 from jobstrata.llm.votes import majority, vote_sums
 from jobstrata.operators.joins import attach_lookup, in_both
+from jobstrata.operators.select import per_key
 
 SHINGLE = 3
 RADIUS = 2
@@ -38,18 +39,26 @@ _BATCH = 256  # queries that are compared at once
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint (long) of every row."""
+def _row_key() -> Column:
+    """What tells rows apart: the id, if any, and the text."""
+    text = F.coalesce(F.xxhash64("text").cast("string"), F.lit(""))
+    return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.when(F.col("text").isNotNull(), text).otherwise(""))
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """doc_id and fingerprint (long) of every row, with ``row_key`` if asked for."""
     words = F.filter(F.split(F.translate(text_or_empty(), _UPPER, _UPPER.lower()), r"[ \t-\r]+"), lambda w: w != "")
-    rows = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("row_id", "doc_id", words.alias("words"))
+    more = [_row_key().alias("row_key")] * keyed
+    rows = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("row_id", "doc_id", *more, words.alias("words"))
+    own = ["row_id", "doc_id"] + ["row_key"] * keyed
     last = F.greatest(F.size("words") - shingle, F.lit(0))
     # A text without words keeps a row with a null place, whose hash is null too.
     places = F.explode_outer(F.when(F.size("words") > 0, F.sequence(F.lit(0), last)))
-    each = rows.select("row_id", "doc_id", "words", places.alias("place"))
+    each = rows.select(*own, "words", places.alias("place"))
     joined = F.array_join(F.slice("words", F.col("place") + 1, F.lit(shingle)), " ")
-    hashed = each.select("row_id", "doc_id", F.when(F.col("place").isNotNull(), F.xxhash64(joined)).alias("h"))
-    votes = hashed.groupBy("row_id", "doc_id").agg(F.count("h").alias("n"), *vote_sums(F.col("h")))
-    return votes.select("doc_id", majority(F.col("n")).alias("fingerprint"))
+    hashed = each.select(*own, F.when(F.col("place").isNotNull(), F.xxhash64(joined)).alias("h"))
+    votes = hashed.groupBy(*own).agg(F.count("h").alias("n"), *vote_sums(F.col("h")))
+    return votes.select(*own[1:], majority(F.col("n")).alias("fingerprint"))
 
 
 # Bit-sliced comparison.
@@ -195,21 +204,42 @@ def edges(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFr
     return cells.repartition("cell").sortWithinPartitions("cell", "fingerprint").mapInArrow(_link(radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (the least doc_id reachable) of every row."""
-    prints = materialize(fingerprints(docs, shingle), "simhash")
+def _classes(prints: DataFrame, radius: int) -> DataFrame:
+    """fingerprint, root and component_id (the least doc_id reachable) of every distinct fingerprint."""
     distinct = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
     roots = components(edges(distinct, radius)).select(F.col("node").alias("fingerprint"), "root")
     rooted = attach_lookup(distinct, roots, ["fingerprint"], ["root"])
     rooted = rooted.withColumn("root", F.coalesce("root", "fingerprint"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = attach_lookup(rooted, least, ["root"], ["component_id"]).select("fingerprint", "component_id")
-    out = attach_lookup(prints, classes, ["fingerprint"], ["component_id"])
+    return attach_lookup(rooted, least, ["root"], ["component_id"]).select("fingerprint", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (the least doc_id reachable) of every row."""
+    prints = materialize(fingerprints(docs, shingle), "simhash")
+    out = attach_lookup(prints, _classes(prints, radius), ["fingerprint"], ["component_id"])
     return out.select("doc_id", hex16("fingerprint").alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` without the rows that are linked to a lesser doc_id. Rows without a doc_id stay."""
-    found = near_duplicates(docs, shingle, radius)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each component: the one of the least doc_id, or of any without an id.
+
+    Rows are told apart by id and text, so a row that shares its id with a linked one stays if it is not linked itself, and of
+    rows with equal id and text one stays.
+    """
+    prints = materialize(fingerprints(docs, shingle, keyed=True), "simhash")
+    rooted = attach_lookup(prints, _classes(prints, radius), ["fingerprint"], ["root"])
+    rows = rooted.groupBy("root", "doc_id", "row_key").agg(F.count("*").alias("n"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first"))
+    marked = attach_lookup(rows, first.select("root", F.col("first.row_key").alias("first")), ["root"], ["first"])
+    marks = marked.select("row_key", (F.col("row_key") != F.col("first")).alias("gone"), "n").filter("gone OR n > 1")
+    marks = materialize(marks.select(F.col("row_key").alias("_row_key"), F.col("gone").alias("_row_gone")), "marks")
+    columns = docs.columns
+    docs, back = aside(docs, ("_row_key", "_row_gone"))
+    keyed = docs.withColumn("_row_key", _row_key())
+    out = attach_lookup(keyed, marks, ["_row_key"], ["_row_gone"]).filter("_row_gone IS NULL").select(*docs.columns)
+    twice = marks.filter("NOT _row_gone")
+    if not twice.isEmpty():
+        order = [F.xxhash64(*[x for x, kind in docs.dtypes if not kind.startswith("map")])]
+        out = out.unionByName(per_key(in_both(keyed, twice, ["_row_key"]), ["_row_key"], order, 1).select(*docs.columns))
+    return out.withColumnsRenamed(back).select(*columns)

@@ -50,7 +50,44 @@ def test_simhash(spark, docs):
     assert by[0]["fingerprint"] == "0" * 16 and {by[k]["component_id"] for k in (0, 1, 2)} == {0}
     assert {r["component_id"] for r in found.filter("doc_id = 6").collect()} >= {6} and by[7]["component_id"] == 6
     kept = simhash_dedup.deduplicate(docs)
-    assert kept.columns == docs.columns and not {1, 2, 7} & set(ids(kept)) and ids(kept)[None] == 2
+    # The row without id and text is linked to row 0; that with a text of its own stays.
+    assert kept.columns == docs.columns and not {1, 2, 7} & set(ids(kept)) and ids(kept)[None] == 1
+    # Row 6 stays once, and so does the other text under its id, which nothing is linked to.
+    assert Counter(r["text"] for r in kept.filter("doc_id = 6").collect()) == {odd.TEXTS[6]: 1, "another text under one id": 1}
+
+
+def test_rows_under_one_id(spark):
+    rows = [(1, "a b c d"), (2, "a b c d"), (2, "something else here now"), (None, "no id here at all"), (None, "no id here at all"), (3, "x"), (3, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row_key", F.lit("k"))
+    kept = simhash_dedup.deduplicate(docs)
+    assert sorted(map(repr, ((r["doc_id"], r["text"], r["_row_key"]) for r in kept.collect()))) == sorted(
+        map(repr, [(1, "a b c d", "k"), (2, "something else here now", "k"), (None, "no id here at all", "k"), (3, "x", "k")])
+    )
+
+
+def test_clashing_names_inside(spark):
+    rows = [(k, "one long line of words here\nand another line of words", "en" if k % 2 else "de") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for name in ("_gone", "_n_lines", "_n_dropped", "_score", "_lang_pred", "score", "lang_pred", "_row_gone"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    for out in (line_dedup.clean(docs), language_id.accept(docs, language_id.learn(docs), 0.0), simhash_dedup.deduplicate(docs)):
+        assert out.columns == docs.columns and all(r[x] == f"own {x}" for r in out.collect() for x in docs.columns[3:])
+
+
+def test_more_languages_than_one_alphabet(spark):
+    names = [f"l{k:02d}" for k in range(70)]
+    rows = [(10 * k + i, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}word{j}" .replace("0", "q").replace("1", "r").replace("2", "s") for j in range(3)), x) for k, x in enumerate(names) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs)
+    assert model.languages == names
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, model, ["doc_id"]).collect()}
+    assert sum(found[d] == x for d, _, x in rows) > 200
+
+
+def test_copies_are_drawn_one_by_one(spark):
+    docs = spark.range(4000).selectExpr("id doc_id", "'the same words in every row' text", "'en' lang")
+    sample, _ = language_id._sample(docs.select("lang", "text", F.col("doc_id").cast("string").alias("drawn_by")), 1000)
+    assert 800 < sample.count() < 1200
 
 
 def test_fingerprints(spark, docs):
