@@ -24,7 +24,6 @@ from jobstrata.functions.location import city_matches
 from jobstrata.functions.messages import notification_text, numbered_text, parse_reply
 from jobstrata.operators.joins import attach_lookup, latest_lookup, narrow_history, not_in, usable
 from jobstrata.operators.select import keep_first
-from jobstrata.session import materialize
 from jobstrata.sources.idstore import IdStore
 from jobstrata.sources.snapshots import Folder
 
@@ -211,11 +210,12 @@ class FeedStore:
             return self.outbox(cycle)
         self._settle()
         since = F.lit(current_mark(self.state(before=cycle), as_of, lookback).first()["since"])
-        # Written once: the candidates are looked up in the ids and joined with them.
-        rows = materialize(keep_first(candidates(gold_all, since, place, slack), ["job_id"], ["posted_time_ts", "url"]), "candidates")
+        # Kept: the candidates are looked up in the ids and joined with them.
+        rows = keep_first(candidates(gold_all, since, place, slack), ["job_id"], ["posted_time_ts", "url"]).persist()
         # A posting without an id was never sent before, as far as anyone can tell.
         fresh = self.ids.unseen(rows).unionByName(rows.filter(~F.coalesce(usable("job_id"), F.lit(False))))
         self._write(with_message(fresh), "outbox", cycle)
+        rows.unpersist()
         outbox = self.outbox(cycle)
         self._write(sent_rows(outbox), "sent", cycle)
         # A look-back may send old rows only; the mark never moves back by itself.
