@@ -9,6 +9,7 @@ from jobstrata.catalog.base import ORDERS_DAY, over_postings, query, table
 from jobstrata.catalog.ingest import events_stream
 from jobstrata.catalog.rules import ALL_PARTS, raw_postings
 from jobstrata.catalog.streams import FEED_DAY, GOLD_ALL_SQL, gold_view, write_domain_files
+from jobstrata.operators import quality
 from jobstrata.plans import feed, views
 from jobstrata.schemas import RAW_POSTING
 from jobstrata.session import fresh_path
@@ -20,6 +21,7 @@ from jobstrata.streaming.dedup import UniqueSink
 from jobstrata.streaming.envelopes import EnvelopeStream
 from jobstrata.streaming.layers import Domain
 from jobstrata.streaming.metrics import DailyMetrics
+from jobstrata.streaming.profiles import ERROR, ColumnProfiles
 from jobstrata.streaming.runs import each_batch, run_to_end
 
 c = F.col
@@ -212,3 +214,43 @@ def k04(spark, sf):
         "SELECT 'sent' AS kind, job_id, posted_time_ts, url FROM chat_agent_sent_jobs "
         "UNION ALL SELECT 'state', NULL, last_posted_time_ts, NULL FROM chat_agent_state"
     )
+
+
+@query(
+    "d05_profile_of_days",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", '{period}' AS period, count(*) AS total_rows, count(*) - count({name}) AS null_count, true AS within_bound
+        FROM (SELECT event_id, user_id, CASE WHEN event_id % 3 > 0 THEN event_type END AS event_type, ts FROM events) WHERE {rule}"""
+        for name in ("event_id", "user_id", "event_type") for period, rule in (("all", "true"), ("week", "ts >= DATE '2024-01-08' AND ts < DATE '2024-01-15'"))),
+)
+def d05_days(spark, sf):
+    rows = table(spark, sf, "events").select(
+        "event_id", "user_id", F.when(c("event_id") % 3 > 0, c("event_type")).alias("event_type"), c("ts").cast("timestamp").alias("ts")
+    )
+    names = ["event_id", "user_id", "event_type"]
+    kept = ColumnProfiles(spark, fresh_path(spark, "profiles"), names, F.to_date("ts"))
+    for batch in range(3):
+        kept.apply(rows.filter(c("event_id") % 3 == batch), batch)
+        if batch == 1:
+            kept.compact()
+    out = []
+    for period, first, last in (("all", None, None), ("week", "2024-01-08", "2024-01-14")):
+        part = rows if first is None else rows.filter(F.to_date("ts").between(first, last))
+        exact = quality.profile(part.select(*names)).select("column", c("distinct_count").alias("exact"))
+        found = kept.read(first, last).join(exact, "column")
+        near = F.abs(c("distinct_count") - c("exact")) <= 4 * ERROR * c("exact") + 1
+        out.append(found.select("column", F.lit(period).alias("period"), "total_rows", "null_count", near.alias("within_bound")))
+    return out[0].unionByName(out[1])
+
+
+@query(
+    "d06_top_values_texts",
+    """WITH v AS (SELECT lang, source, repeat(source || '-', 30) AS long_source, repeat('same start ', 10) || lang AS one_start, text FROM documents)"""
+    + " UNION ALL ".join(f"(SELECT '{x}' AS \"column\", {x} AS value, count(*) AS freq FROM v WHERE {x} IS NOT NULL GROUP BY {x} ORDER BY freq DESC, value LIMIT 10)"
+                         for x in ("lang", "source", "long_source", "one_start")),
+)
+def d06_texts(spark, sf):
+    rows = table(spark, sf, "documents").select(
+        "lang", "source", F.expr("repeat(source || '-', 30)").alias("long_source"), F.expr("repeat('same start ', 10) || lang").alias("one_start"), "text"
+    )
+    return quality.top_values(rows)

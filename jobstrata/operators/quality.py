@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from jobstrata import vocab
 from jobstrata.operators.select import per_key
+from jobstrata.session import materialize
 
 Rules = dict[str, str]
 
@@ -242,25 +243,51 @@ def _ratios(stats: DataFrame) -> DataFrame:
     )
 
 
-def top_values(
-    df: DataFrame, columns: list[str] | None = None, n: int = 10, max_unique_ratio: float = 0.1
-) -> DataFrame:
-    """Most frequent values of the string columns that repeat enough, as ``column, value, freq``."""
-    strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
-    columns = [c for c in (columns or strings) if c in strings]
-    freq = column_frequencies(df, columns)
+# Longer values are counted by their first characters and a digest.
+SHORT = 64
+
+
+def _parts(c: str) -> tuple[Column, Column]:
+    """A value as its start, which orders it, and the digest of a longer one."""
+    return F.substring(c, 1, SHORT), F.when(F.length(c) > SHORT, F.sha2(c, 256))
+
+
+def top_starts(df: DataFrame, columns: list[str], n: int, max_unique_ratio: float) -> DataFrame:
+    """The candidates of ``top_values`` as ``column, start, digest, n``: those that may be among the first ``n``."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), *[x.alias(k) for x, k in zip(_parts(c), ("start", "digest"))]) for c in columns])
+    freq = df.select(F.inline(pairs)).groupBy("column", "start", "digest").agg(F.count("*").alias("n"))
     # One row per profiled column, so this side is bounded by the width of the schema.
     repeated = freq.groupBy("column").agg(
-        F.sum("n").alias("_total"), F.count("value").alias("_distinct")
+        F.sum("n").alias("_total"), F.count("start").alias("_distinct")
     ).filter(F.col("_distinct") < F.col("_total") * max_unique_ratio)
     # NULL sorts last and is dropped only after ranking: a filter before it would be pushed
     # below the counts, and the two branches could no longer share one shuffle.
-    ranked = per_key(freq, ["column"], [F.isnull("value"), F.desc("n"), F.asc("value")], n)
-    return (
-        ranked.join(F.broadcast(repeated.select("column")), "column")
-        .filter(F.col("value").isNotNull())
-        .select("column", "value", F.col("n").alias("freq"))
-    )
+    # Values with one start tie here, so all of them are candidates.
+    place = F.rank().over(Window.partitionBy("column").orderBy(F.isnull("start"), F.desc("n"), F.asc("start")))
+    ranked = freq.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+    return ranked.join(F.broadcast(repeated.select("column")), "column").filter(F.col("start").isNotNull())
+
+
+def top_values(
+    df: DataFrame, columns: list[str] | None = None, n: int = 10, max_unique_ratio: float = 0.1
+) -> DataFrame:
+    """Most frequent values of the string columns that repeat enough, as ``column, value, freq``; ties go by value.
+
+    Values are counted by start and digest, so no long text crosses a shuffle. The texts behind the digests that may be
+    among the first ``n`` are looked up in a second pass, if there are any.
+    """
+    strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    columns = [c for c in (columns or strings) if c in strings]
+    first = materialize(top_starts(df, columns, n, max_unique_ratio), "top_values")
+    short = first.filter("digest IS NULL").select("column", F.col("start").alias("value"), "n")
+    wanted = first.filter("digest IS NOT NULL")
+    found = [r["column"] for r in wanted.select("column").distinct().collect()]
+    if found:
+        texts = F.array(*[F.struct(F.lit(c).alias("column"), _parts(c)[1].alias("digest"), F.col(c).alias("value")) for c in found])
+        meant = df.select(F.inline(texts)).filter("digest IS NOT NULL").join(wanted.select("column", "digest", "n"), ["column", "digest"])
+        whole = meant.groupBy("column", "digest").agg(F.min("value").alias("value"), F.min("n").alias("n"))
+        short = short.unionByName(whole.select("column", "value", "n"))
+    return per_key(short, ["column"], [F.desc("n"), F.asc("value")], n).select("column", "value", F.col("n").alias("freq"))
 
 
 def duplicate_audit(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,6 +113,10 @@ def register_raw(
         f"OPTIONS (path {quote(path)}, multiLine '{str(multiline).lower()}') "
         f"COMMENT {quote(comment)}" + (f" TBLPROPERTIES ({props})" if props else "")
     )
+    kept = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}.get("Location", "")
+    same = lambda text: unquote(re.sub(r"^[a-z0-9]+:/*", "/", text)).rstrip("/")
+    if same(kept) != same(path):
+        raise ValueError(f"table {name} exists already, over {kept}")
     return spark.table(name)
 
 

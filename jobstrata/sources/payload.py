@@ -93,12 +93,13 @@ def normalize_api_payload(df: DataFrame, search_term: str, as_of: AsOf = None, v
 
 def search_postings(
     df: DataFrame, keyword: str, text: str, ts: str, as_of: AsOf = None, within: str | None = "7 days",
-    remote: Column | None = None, limit: int = 100, tiebreak: str = "job_id",
+    remote: Column | None = None, limit: int | None = 100, tiebreak: str = "job_id",
 ) -> DataFrame:
-    """Newest postings that hold the keyword, at most ``within`` old, optionally remote only."""
+    """Newest postings that hold the keyword, at most ``within`` old, optionally remote only; all of them without a limit."""
     out = df.filter(F.contains(F.lower(F.col(text)), F.lit(keyword.lower())))
     if within is not None:
         out = out.filter(not_before(out, ts, as_of, within))
     if remote is not None:
         out = out.filter(remote)
-    return out.orderBy(F.desc_nulls_last(ts), F.asc(tiebreak)).limit(limit)
+    out = out.orderBy(F.desc_nulls_last(ts), F.asc(tiebreak))
+    return out if limit is None else out.limit(limit)

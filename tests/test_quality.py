@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from jobstrata.operators import quality
 
@@ -53,7 +54,19 @@ def test_top_values_share_one_shuffle(spark):
     df = spark.createDataFrame([(str(i % 3), str(i), None if i % 2 else "n") for i in range(60)], "few string, many string, half string")
     top = quality.top_values(df, n=2)
     assert {(r.column, r.value, r.freq) for r in top.collect()} == {("few", "0", 20), ("few", "1", 20), ("half", "n", 30)}
-    assert "ReusedExchange" in top._jdf.queryExecution().executedPlan().toString()
+    starts = quality.top_starts(df, df.columns, 2, 0.1)
+    starts.collect()
+    assert "ReusedExchange" in starts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_values_of_long_texts(spark):
+    """Values that begin alike are told apart and ordered by what follows; no text is in an exchange."""
+    same = "x" * 80
+    df = spark.createDataFrame([(same + "bca"[i % 3], "short" if i % 2 else None, f"{i}" * 50) for i in range(90)], "long string, half string, own string")
+    top = quality.top_values(df, n=2)
+    assert sorted((r.column, r.value[-1], r.freq) for r in top.collect()) == [("half", "t", 45), ("long", "a", 30), ("long", "b", 30)]
+    starts = quality.top_starts(df, df.columns, 2, 0.1)
+    assert starts.agg(F.max(F.length("start"))).first()[0] <= quality.SHORT and "start" in starts.columns and "value" not in starts.columns
 
 
 def test_thresholds(rows):

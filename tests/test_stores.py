@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jobstrata import schemas
 from jobstrata.operators.changes import change_history
 from jobstrata.operators.order import with_neighbour
+from jobstrata.operators import quality
 from jobstrata.operators.quality import Check, ExpectationFailed
 from jobstrata.plans.feed import FeedStore
 from jobstrata.plans.views import register_feed_tables
@@ -19,6 +20,7 @@ from jobstrata.streaming.current import ChangeHistory, CurrentState
 from jobstrata.streaming.dedup import UniqueSink
 from jobstrata.streaming.layers import Domain
 from jobstrata.streaming.metrics import DailyMetrics
+from jobstrata.streaming.profiles import ERROR, ColumnProfiles
 from jobstrata.streaming.runs import each_batch, run_to_end
 from jobstrata.streaming.sinks import LayerSink
 from tests.test_feed import AT, gold
@@ -456,3 +458,23 @@ def test_envelope_places_are_read(spark):
     sent = spark.createDataFrame([(b"k", b'{"title": "t", "batch_id": "x"}', "jobs", 3, 17, None)], schemas.ENVELOPE)
     row = messages.envelope_rows(sent, schemas.MESSAGE).first()
     assert (row.title, row.batch_id, row.message_id, row.kafka_key) == ("t", "x", "jobs/3/17", "k")
+
+
+def test_profiles_of_batches_and_days_add_up(spark, tmp_path):
+    rows = spark.range(3000).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("day"), (F.col("id") % 500).cast("string").alias("often"),
+        F.when(F.col("id") % 4 > 0, F.col("id")).alias("some"),
+    )
+    one = ColumnProfiles(spark, str(tmp_path / "one"), ["often", "some"], F.col("day"))
+    many = ColumnProfiles(spark, str(tmp_path / "many"), ["often", "some"], F.col("day"))
+    one.apply(rows, 0)
+    for n in range(4):
+        for _ in range(2):
+            many.apply(rows.filter(F.pmod(F.hash("some", "often"), F.lit(4)) == n), n)
+    many.compact()
+    for first, last in ((None, None), ("2024-01-02", "2024-01-04")):
+        part = rows if first is None else rows.filter(F.col("day").between(first, last))
+        exact = {r.column: r for r in quality.profile(part.select("often", "some")).collect()}
+        for found in (one.read(first, last).collect(), many.read(first, last).collect()):
+            assert {r.column: (r.total_rows, r.null_count) for r in found} == {k: (r.total_rows, r.null_count) for k, r in exact.items()}
+            assert all(abs(r.distinct_count - exact[r.column].distinct_count) <= 4 * ERROR * exact[r.column].distinct_count + 1 for r in found)
