@@ -6,7 +6,7 @@ title, language, links) and a conversion record (the text of the page). Both ref
 target, date and other source headers over, and keep its block and payload digests beside their own.
 
 Files are read and written by Spark's text source, split at record boundaries, so a large file is read by many tasks.
-``complete`` tells whether a record has the bytes its header announces; one whose block contains a record boundary has not.
+``complete`` tells whether a record has the bytes its header announces; the last one of a file that was cut off has not.
 
 Records that are no responses give nothing. A null or empty block, a missing HTTP head or charset, unclosed tags and empty
 tables are handled: what cannot be read counts as empty. Repeated rows give records with equal identifiers. Identifiers
@@ -20,11 +20,15 @@ import hashlib
 import html
 import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from jobstrata.llm.common import materialize
+from jobstrata.operators.joins import attach_lookup
+
 VERSION = "WARC/1.0"
 RECORD = "warc_type string, record_id string, target_uri string, warc_date string, content_type string, headers map<string,string>, block binary"
 # Named fields that describe a record itself and are not carried over to a derived one.
@@ -170,20 +174,80 @@ def write_warc(records: DataFrame, path: str) -> None:
     records.select(whole.cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files, with ``complete``."""
-    parts = spark.read.option("lineSep", f"\r\n\r\n{VERSION}\r\n").text(path)
-    # The first record of a file still has its version line, the last one its end.
-    data = F.col("value")
-    data = F.when(F.startswith(data, F.lit(VERSION)), F.substring(data, len(VERSION) + 3, 2**31 - 1)).otherwise(data)
-    rows = parts.select(data.alias("data")).select(F.substring_index("data", "\r\n\r\n", 1).alias("head"), F.col("data").cast("binary").alias("data"))
+# Any version's line begins so. Between records it follows two line ends.
+_MARK = "WARC/1."
+_BETWEEN = "\r\n\r\n" + _MARK
+_HEAD = 1 << 16
+
+
+def _framed(pieces: DataFrame) -> DataFrame:
+    """Pieces (data begins behind the mark) with head, skip (bytes in front of the block) and length (of the block)."""
+    # As Latin-1 every byte is a character, whatever the head's encoding.
+    head = lambda data: F.substring_index(F.decode(data, "ISO-8859-1"), "\r\n\r\n", 1)
+    short = head(F.substring("data", 1, _HEAD))
+    size = F.when(F.length(short) < _HEAD - 4, F.length(short)).otherwise(F.length(head(F.col("data"))))
+    rows = pieces.withColumn("skip", size + 4).withColumn("head", F.expr("substring(data, 1, skip - 4)").cast("string"))
     entries = F.transform(F.split("head", "\r\n"), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)), F.trim(F.regexp_replace(x, r"^[^:]*:", ""))))
-    rows = rows.filter(F.contains("head", F.lit(":"))).select(_field_map(entries).alias("headers"), F.col("data"), F.octet_length(F.encode("head", "UTF-8")).alias("skip"))
-    length = F.expr("try_cast(headers['Content-Length'] AS int)")
-    block = F.substring(F.col("data"), F.col("skip") + 5, F.coalesce(length, F.lit(2**31 - 1)))
+    rows = rows.withColumn("headers", _field_map(F.filter(entries, lambda e: e["col2"] != e["col1"])))
+    return rows.withColumn("length", F.expr("try_cast(headers['Content-Length'] AS bigint)"))
+
+
+def _pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Files cut at whatever looks like the begin of a record: file, place (which orders the pieces of a file) and data."""
+    parts = spark.read.option("lineSep", _BETWEEN).text(paths)
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    parts = parts.select(F.col("_metadata.file_path").alias("file"), place.alias("place"), F.col("value").cast("binary").alias("data"))
+    # The first record of a file still has its mark.
+    starts = (F.col("place.block") == 0) & (F.substring("data", 1, len(_MARK)) == F.lit(_MARK.encode()))
+    return parts.withColumn("data", F.when(starts, F.expr(f"substring(data, {len(_MARK) + 1})")).otherwise(F.col("data")))
+
+
+def _rejoined(pieces: DataFrame) -> DataFrame:
+    """Pieces of files in which a block was cut, put together by the lengths that the heads announce."""
+    gap = len(_BETWEEN)
+    in_file = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum(F.octet_length("data") + gap).over(in_file), F.lit(0))
+    placed = materialize(pieces.withColumn("begin", begin), "pieces")
+    known = _framed(placed).withColumn("end", F.col("begin") + F.col("skip") + F.col("length"))
+    open_ones = known.filter(F.col("end") > F.col("begin") + F.octet_length("data"))
+    claims = open_ones.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("claims"))
+    # What begins inside a block is part of it, so its own claim does not count.
+    spans = F.aggregate("claims", F.array().cast("array<struct<begin:bigint,end:bigint>>"), lambda kept, x: F.when(
+        F.exists(kept, lambda k: (k["begin"] < x["begin"]) & (x["begin"] < k["end"])), kept
+    ).otherwise(F.concat(kept, F.array(x))))
+    owned = attach_lookup(placed, claims.select("file", spans.alias("spans")), ["file"], ["spans"])
+    cover = F.filter("spans", lambda k: (k["begin"] < F.col("begin")) & (F.col("begin") < k["end"]))
+    owned = owned.withColumn("record", F.coalesce(F.get(cover, 0)["begin"], F.col("begin")))
+    whole = owned.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("begin", "data"))).alias("run"))
+    mark = F.lit(_BETWEEN.encode())
+    data = F.aggregate(F.slice("run", 2, F.size("run")), F.get("run", 0)["data"], lambda acc, x: F.concat(acc, mark, x["data"]))
+    return whole.select("file", data.alias("data"))
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """Records of WARC files of versions 1.0 and 1.1, with ``complete``: the block has the bytes its head announces.
+
+    Blocks are cut by ``Content-Length`` and may hold anything. Files are split at what looks like the begin of a record; where a
+    block holds that itself, its file is put together again by lengths, at the cost of a shuffle of such files alone.
+    """
+    pieces = _pieces(spark, path)
+    framed = _framed(pieces)
+    size = F.octet_length("data")
+    slim = framed.select("file", "place", (F.col("skip") + F.col("length") > size).alias("open"))
+    last = F.max("place").alias("last")
+    cut = slim.groupBy("file").agg(last, F.min(F.when(F.col("open"), F.col("place"))).alias("first_open")).filter("first_open < last")
+    # Files with a record that ends too early though others follow. A last record that ends too early is a cut-off file.
+    files = [row["file"] for row in cut.select("file").collect()]
+    if files:
+        again = _rejoined(_pieces(spark, [unquote(x) for x in files]))
+        framed = framed.filter(~F.col("file").isin(files)).select("data", "skip", "headers", "length").unionByName(
+            _framed(again).select("data", "skip", "headers", "length")
+        )
+    rows = framed.filter(F.size("headers") > 0)
+    block = F.expr("substring(data, skip + 1, cast(coalesce(length, 2147483647) as int))")
     named = {"warc_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "warc_date": "WARC-Date", "content_type": "Content-Type"}
-    out = rows.select(*[F.col("headers")[v].alias(k) for k, v in named.items()], "headers", block.alias("block"), length.alias("_length"))
-    return out.withColumn("complete", F.coalesce(F.octet_length("block") == F.col("_length"), F.lit(False))).drop("_length")
+    out = rows.select(*[F.col("headers")[v].alias(k) for k, v in named.items()], "headers", block.alias("block"), "length")
+    return out.withColumn("complete", F.coalesce(F.octet_length("block") == F.col("length"), F.lit(False))).drop("length")
 
 
 def _field_map(entries: Column) -> Column:
