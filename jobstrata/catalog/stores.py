@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobstrata import schemas
-from jobstrata.catalog.base import ORDERS_DAY, over_postings, query, table
+from jobstrata.catalog.base import ORDERS_DAY, over_postings, postings, postings_sql, query, table
 from jobstrata.catalog.ingest import events_stream
-from jobstrata.catalog.rules import ALL_PARTS, raw_postings
+from jobstrata.catalog.relations import DAILY_KEYS_SQL, SILVER_PARTS, SILVER_SQL
+from jobstrata.catalog.rules import ALL_PARTS, CORPUS_KEYWORDS, CORPUS_TERMS, raw_postings
 from jobstrata.catalog.streams import FEED_DAY, GOLD_ALL_SQL, gold_view, write_domain_files
 from jobstrata.operators import quality
-from jobstrata.plans import feed, views
+from jobstrata.plans import extraction, feed, jobs, views
 from jobstrata.schemas import RAW_POSTING
 from jobstrata.session import fresh_path
 from jobstrata.sources.files import read_bronze
@@ -254,3 +255,46 @@ def d06_texts(spark, sf):
         "lang", "source", F.expr("repeat(source || '-', 30)").alias("long_source"), F.expr("repeat('same start ', 10) || lang").alias("one_start"), "text"
     )
     return quality.top_values(rows)
+
+
+@query(
+    "c04_extraction_chain",
+    over_postings("title", body="""SELECT job_id, category, title, url FROM pv WHERE job_id <> '' AND title <> '' AND company <> ''
+    AND CASE category WHEN 'data_engineer' THEN regexp_matches(lower(title), 'widget|bolt|gear') WHEN 'data_analytics' THEN regexp_matches(lower(title), 'ring|plate') ELSE true END
+    AND NOT EXISTS (SELECT 1 FROM labels l WHERE 'job_' || l.doc_id = pv.job_id)"""),
+)
+def c04_chain(spark, sf):
+    rows = postings(spark, sf, "title").select("doc_id", "job_id", "category", "title", "company", "url")
+    known, out = IdStore(spark, fresh_path(spark, "ids")), fresh_path(spark, "new")
+    known.add(table(spark, sf, "labels").select(F.concat(F.lit("job_"), c("doc_id").cast("string")).alias("job_id")), "history")
+    # Each row is scraped twice in the first run; the second run meets what the first has added.
+    some = rows.filter(c("doc_id") % 3 > 0)
+    first = extraction.extract(some.unionByName(some), known, out, 0, ["doc_id"], CORPUS_TERMS)
+    second = extraction.extract(rows, known, out, 1, ["doc_id"], CORPUS_TERMS)
+    return first.unionByName(second).select("job_id", "category", "title", "url")
+
+
+BATCH_SQL = postings_sql(*SILVER_PARTS).replace("pv AS", "raw AS", 1) + """, pv AS (
+    SELECT * REPLACE (lower(trim(company)) AS company, trim(title) AS title, trim(location) AS location) FROM raw
+    QUALIFY row_number() OVER (PARTITION BY job_id, CAST(ingestion_timestamp AS date) ORDER BY ingestion_timestamp DESC, trim(title) DESC NULLS LAST, trim(location) DESC NULLS LAST) = 1), """ + SILVER_SQL
+
+
+@query(
+    "d01_batch_medallion",
+    f"WITH {BATCH_SQL} SELECT {DAILY_KEYS_SQL}, count(*) AS jobs_count, count(DISTINCT job_id) AS unique_jobs, avg(len(stack)) AS avg_tech_stack_size FROM silver GROUP BY {DAILY_KEYS_SQL}",
+)
+def d01_batch(spark, sf):
+    raw = postings(spark, sf, "title", "place", "ingested")
+    raw = raw.withColumn("extract_date", c("ingestion_timestamp"))
+    bronze = jobs.jobs_bronze(raw.unionByName(raw))
+    return jobs.daily_metrics(jobs.jobs_silver(jobs.with_tech_stack(bronze, CORPUS_KEYWORDS)))
+
+
+@query(
+    "b06_batch_expectations",
+    f"WITH {BATCH_SQL} SELECT unnest(['valid_job_id', 'valid_title', 'valid_company', 'valid_extract_date']) AS rule, "
+    "unnest([count(*) FILTER (job_id <> ''), count(*) FILTER (title <> ''), count(company), count(ingestion_timestamp)]) AS passed FROM pv",
+)
+def b06_batch(spark, sf):
+    raw = postings(spark, sf, "title", "place", "ingested").withColumn("extract_date", c("ingestion_timestamp"))
+    return quality.expectation_report(jobs.jobs_bronze(raw.unionByName(raw)), quality.JOBS_BRONZE_WARN).select("rule", "passed")
