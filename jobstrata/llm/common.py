@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from jobstrata.session import materialize
 
-__all__ = ["SPACES", "aside", "crc_rest", "documents", "materialize", "slices", "table", "text_or_empty", "hex16", "with_row_id"]
+__all__ = ["SPACES", "aside", "crc_rest", "documents", "materialize", "release", "slices", "table", "text_or_empty", "hex16", "with_row_id"]
 
 # The white space of the contracts: blank and the five controls from tab to carriage return.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -60,6 +60,14 @@ def aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, s
     return df.withColumnsRenamed({name: other for other, name in back.items()}), back
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose result has been written.
+
+    Its cleaner acts when the driver's garbage collector drops the last reference, which on a quiet driver may be long after.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the strings of a column take about ``limit`` bytes; a longer row stays alone."""
     for batch in batches:

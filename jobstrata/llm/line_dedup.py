@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobstrata.llm.common import aside, materialize, slices
+from jobstrata.llm.common import aside, materialize, release, slices
 
 LEADING = 2
 SPANS = 4
@@ -103,6 +103,7 @@ def template_keys(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").dropna()
     lines = materialize(rows.mapInArrow(_lines, "doc_id long, line long, keys array<long>"), "templates")
+    release(docs.sparkSession)
     return lines.select("doc_id", "line", F.explode("keys").alias("key"))
 
 
@@ -214,6 +215,7 @@ def without_passages(docs: DataFrame) -> DataFrame:
     """Every row with its columns, ``doc_id`` as a long; its text lacks the keyed windows that an earlier document has."""
     rows = docs.select("doc_id", "text").dropna()
     keyed = materialize(rows.mapInArrow(_windows, "doc_id long, key long"), "windows")
+    release(docs.sparkSession)
     met = _met(keyed).select("doc_id", "key").distinct().groupBy("doc_id").agg(F.collect_list("key").alias("_gone"))
     marked = docs.join(met, "doc_id", "left")
     fields = ", ".join(f"`{x}` {t}" for x, t in marked.dtypes if x not in ("text", "_gone"))
