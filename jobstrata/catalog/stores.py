@@ -247,8 +247,8 @@ def d05_days(spark, sf):
 @query(
     "d06_top_values_texts",
     """WITH v AS (SELECT lang, source, repeat(source || '-', 30) AS long_source, repeat('same start ', 10) || lang AS one_start, text FROM documents)"""
-    + " UNION ALL ".join(f"(SELECT '{x}' AS \"column\", {x} AS value, count(*) AS freq FROM v WHERE {x} IS NOT NULL GROUP BY {x} ORDER BY freq DESC, value LIMIT 10)"
-                         for x in ("lang", "source", "long_source", "one_start")),
+    + " UNION ALL ".join(f"(SELECT '{x}' AS \"column\", {x} AS value, count(*) AS freq FROM v WHERE {x} IS NOT NULL AND (SELECT count(DISTINCT {x}) < 0.1 * count(*) FROM v) GROUP BY {x} ORDER BY freq DESC, value LIMIT 10)"
+                         for x in ("lang", "source", "long_source", "one_start", "text")),
 )
 def d06_texts(spark, sf):
     rows = table(spark, sf, "documents").select(
